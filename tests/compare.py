@@ -43,19 +43,19 @@ def _table(columns, rows):
     return sorted(columns), sorted(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
-def difference(spark, con, name: str, sf_dir: str) -> str | None:
-    """None if the query and its SQL agree, else what differs."""
+def difference(spark, con, name: str, sf_dir: str) -> tuple[int, str | None]:
+    """(rows, None if the query and its SQL agree, else what differs)."""
     df = entry.queries()[name](spark, sf_dir)
     ours = _table(df.columns, [tuple(row) for row in df.collect()])
     cursor = con.execute(entry.oracle_sql()[name])
     theirs = _table([column[0] for column in cursor.description], cursor.fetchall())
     if ours[0] != theirs[0]:
-        return f"columns {ours[0]} vs {theirs[0]}"
+        return len(ours[1]), f"columns {ours[0]} vs {theirs[0]}"
     if ours[1] != theirs[1]:
         left, right = set(ours[1]), set(theirs[1])
-        return (f"{len(ours[1])} vs {len(theirs[1])} rows; ours only {list(left - right)[:3]}; "
-                f"SQL only {list(right - left)[:3]}")
-    return None
+        return len(ours[1]), (f"{len(ours[1])} vs {len(theirs[1])} rows; ours only {list(left - right)[:3]}; "
+                              f"SQL only {list(right - left)[:3]}")
+    return len(ours[1]), None
 
 
 if __name__ == "__main__":
@@ -71,7 +71,8 @@ if __name__ == "__main__":
         began = time.time()
         try:
             if query in entry.oracle_sql():
-                verdict = difference(session, connection, query, sf) or "ok"
+                rows, found = difference(session, connection, query, sf)
+                verdict = found or f"ok, {rows} rows"
             else:
                 verdict = f"rows only: {entry.queries()[query](session, sf).count()}"
         except Exception as error:  # noqa: BLE001

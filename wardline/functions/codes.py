@@ -12,8 +12,8 @@ from wardline import vocabulary as V
 def state_abbrev(code: Column | str) -> Column:
     """State abbreviation of a numeric code; unknown and NULL codes give NULL."""
     code = F.col(code) if isinstance(code, str) else code
-    entries = [F.lit(item) for pair in V.STATE_BY_CODE.items() for item in pair]
-    return F.create_map(*entries)[code]
+    entries = ", ".join(f"{number}, '{state}'" for number, state in V.STATE_BY_CODE.items())
+    return F.expr(f"map({entries})")[code]
 
 
 def is_hospital_type(code: Column | str, types: Iterable[int] = V.HOSPITAL_TYPES) -> Column:

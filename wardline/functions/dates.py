@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# The two layouts admission dates arrive in, each with the exact text shape it needs.
-DATE_LAYOUTS = ((r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"), (r"^\d{8}$", "yyyyMMdd"))
+# The two layouts admission dates arrive in.
+ISO_SHAPE = r"\A\d{4}-\d{2}-\d{2}\z"
+COMPACT_SHAPE = r"\A\d{8}\z"
 
 
 def _column(value: Column | str) -> Column:
@@ -13,10 +14,13 @@ def _column(value: Column | str) -> Column:
 
 
 def parse_mixed_date(value: Column | str) -> Column:
-    """Date from text in either layout; any other text, or an impossible date, gives NULL."""
+    """Date from `yyyy-MM-dd` or `yyyyMMdd` text; any other text, or an impossible date, gives NULL.
+
+    Both layouts end in one cast of ISO text, which costs a fraction of parsing by pattern.
+    """
     text = _column(value).cast("string")
-    return F.coalesce(*[F.when(text.rlike(shape), F.try_to_date(text, layout))
-                        for shape, layout in DATE_LAYOUTS])
+    spelled = F.concat_ws("-", text.substr(1, 4), text.substr(5, 2), text.substr(7, 2))
+    return F.when(text.rlike(ISO_SHAPE), text).when(text.rlike(COMPACT_SHAPE), spelled).try_cast("date")
 
 
 def iso_date(value: Column | str) -> Column:

@@ -7,7 +7,7 @@ municipalities, `part` the diagnosis. `oracle.py` repeats them in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from wardline import vocabulary as V
 from wardline.functions.codes import state_abbrev
@@ -25,12 +25,20 @@ CASES = CaseSlice(("PROMO",), "SP", 1997, 1999)
 LEVEL_BOUNDS = (40, 50, 60)
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. Its footer is read once per process, not once per use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _nation_code(key: str) -> Column:
-    return F.coalesce(F.get(F.array(*[F.lit(code) for code in NATION_CODES]), F.col(key)), F.lit(UNMAPPED_CODE))
+    codes = ", ".join(str(code) for code in NATION_CODES)
+    return F.coalesce(F.get(F.expr(f"array({codes})"), F.col(key)), F.lit(UNMAPPED_CODE))
 
 
 def _day(column: str) -> Column:
@@ -175,17 +183,22 @@ def disease_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trends.disease_trend(fact(spark, sf_dir), dim(spark, sf_dir))
 
 
+def star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fact, facilities, municipalities."""
+    return fact(spark, sf_dir), dim(spark, sf_dir), municipalities(spark, sf_dir)
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pressure.pressure_features(fact(spark, sf_dir))
 
 
-def pressure_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pressure_table(fact: DataFrame) -> DataFrame:
     """Pressure table whose level follows from the index alone, so that SQL can repeat it."""
     index = F.col("indice_pressao")
     level = F.lit(V.RISK_LEVELS[0])
     for bound, name in zip(LEVEL_BOUNDS, V.RISK_LEVELS[1:]):
         level = F.when(index >= bound, name).otherwise(level)
-    return pressure.pressure_index(features(spark, sf_dir)).withColumn("nivel_risco", level)
+    return pressure.pressure_index(pressure.pressure_features(fact)).withColumn("nivel_risco", level)
 
 
 def occupancy_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,14 +218,15 @@ def occupancy_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.overview(fact(spark, sf_dir), dim(spark, sf_dir), municipalities(spark, sf_dir),
-                          pressure_table(spark, sf_dir))
+    fact, dim, places = star(spark, sf_dir)
+    return views.overview(fact, dim, places, pressure_table(fact))
 
 
 def pressure_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.pressure_by_region(fact(spark, sf_dir), dim(spark, sf_dir), municipalities(spark, sf_dir),
-                                    pressure_table(spark, sf_dir), count_rate=True)
+    fact, dim, places = star(spark, sf_dir)
+    return views.pressure_by_region(fact, dim, places, pressure_table(fact), count_rate=True)
 
 
 def critical_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.critical_ranking(dim(spark, sf_dir), municipalities(spark, sf_dir), pressure_table(spark, sf_dir))
+    fact, dim, places = star(spark, sf_dir)
+    return views.critical_ranking(dim, places, pressure_table(fact))

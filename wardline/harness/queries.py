@@ -585,12 +585,8 @@ def view_ranking(spark, sf):
     return comparable(A.critical_ranking(spark, sf))
 
 
-def _star(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return A.fact(spark, sf), A.dim(spark, sf), A.municipalities(spark, sf)
-
-
 def _case_overview(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.case_overview(*_star(spark, sf), A.CASES)
+    return reports.case_overview(*A.star(spark, sf), A.CASES)
 
 
 def _case_trend(spark: SparkSession, sf: str) -> DataFrame:
@@ -598,7 +594,7 @@ def _case_trend(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _case_ranking(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.facilities_by_cases(*_star(spark, sf), A.CASES)
+    return reports.facilities_by_cases(*A.star(spark, sf), A.CASES)
 
 
 def _pressure_ranking(spark: SparkSession, sf: str) -> DataFrame:
@@ -617,7 +613,7 @@ def dash_trend(spark, sf):
 
 @query
 def dash_case_map(spark, sf):
-    return comparable(reports.case_map(*_star(spark, sf), A.CASES))
+    return comparable(reports.case_map(*A.star(spark, sf), A.CASES))
 
 
 @query

@@ -15,11 +15,6 @@ INTEGER_FIELDS = ("MUNIC_RES", "MUNIC_MOV", "DIAS_PERM", "IDADE", "MORTE", "CNES
 DECIMAL_FIELDS = ("VAL_TOT",)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The schema's columns, in its order, with its types. All of them must exist."""
-    return df.select(*[F.col(field.name).cast(field.dataType) for field in schema.fields])
-
-
 def with_typed_nulls(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Add NULL columns that already have their final type (never VOID)."""
     return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schema.fields})

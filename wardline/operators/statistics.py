@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -14,7 +14,7 @@ from wardline import vocabulary as V
 from wardline.functions.numbers import one_if_zero, round_tenth
 from wardline.session import materialize
 
-FITS_AT_ONCE = 4
+FITS_AT_ONCE = 10
 
 
 def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -40,29 +40,29 @@ def cluster(df: DataFrame, columns: Sequence[str], keys: Sequence[str], k: int =
             restarts: int = V.RESTARTS, seed: int = V.SEED, name: str = "cluster") -> DataFrame:
     """Add a K-Means cluster number, from the best of `restarts` fits on standardised columns.
 
-    Never more clusters than rows. Fits run on Spark, a few at a time; only
-    centres and costs come to the driver. The input is written out once in key
-    order, so that restarts do not recompute it and a rerun draws the same
-    starting points. Runs jobs.
+    Never more clusters than rows. Fits run on Spark, several at a time over one
+    cached copy of the points; only centres and costs come to the driver. The
+    input is written out once in key order, so that restarts do not recompute
+    it and a rerun draws the same starting points. Runs jobs.
     """
     if df.isEmpty():
         return df.withColumn(name, F.lit(None).cast("int"))
     slots = df.sparkSession.sparkContext.defaultParallelism
-    laid_out = df.repartition(slots, *keys).sortWithinPartitions(*keys)
-    source = materialize(laid_out, "features")
-    k = min(k, len(source.select(keys[0]).take(k)))
+    source = materialize(df.repartition(slots, *keys).sortWithinPartitions(*keys), "features")
+    k = len(source.select(keys[0]).take(k))
     if k == 1:
         return source.withColumn(name, F.lit(0))
-    scaled = standardize(source, columns)
-    features = VectorAssembler(inputCols=[f"{c}_z" for c in columns], outputCol="_features")
-    points = materialize(features.transform(scaled).drop(*[f"{c}_z" for c in columns]), "points")
+    scaled = [f"{c}_z" for c in columns]
+    vectors = VectorAssembler(inputCols=scaled, outputCol="_features").transform(standardize(source, columns))
+    points = vectors.drop(*scaled).persist()
 
-    def fit(offset: int):
+    def fit(offset: int) -> KMeansModel:
         return KMeans(featuresCol="_features", predictionCol=name, k=k, seed=seed + offset,
                       maxIter=300, tol=1e-4).fit(points)
 
     with ThreadPool(min(FITS_AT_ONCE, restarts)) as pool:
         models = pool.map(fit, range(restarts))
+    points.unpersist()
     best = min(models, key=lambda model: model.summary.trainingCost)
     return best.transform(points).drop("_features")
 

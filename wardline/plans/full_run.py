@@ -37,12 +37,14 @@ def build_gold(spark: SparkSession, paths: Paths) -> None:
 
     Indicators read the fact that was just written, three columns of it, and
     not the Silver table again. Silver is laid out by month, so the fact needs
-    no shuffle to be written by month.
+    no shuffle to be written by month; within a month it is ordered by diagnosis,
+    which is what reports select by.
     """
     admissions = read_table(spark, f"{paths.silver}/internacoes", schemas.SILVER_ADMISSIONS)
     registry = read_table(spark, f"{paths.silver}/estabelecimentos", schemas.SILVER_REGISTRY)
     write_table(gold.dim_hospital(registry), f"{paths.gold}/dim_hospital")
-    write_partitioned(gold.fact(admissions), f"{paths.gold}/fato_internacoes", ["ano", "mes"], colocate=False)
+    write_partitioned(gold.fact(admissions), f"{paths.gold}/fato_internacoes", ["ano", "mes"], colocate=False,
+                      sort_by=["cid_principal", "cnes_id"])
 
     fact = read_table(spark, f"{paths.gold}/fato_internacoes", schemas.FACT)
     dim = read_table(spark, f"{paths.gold}/dim_hospital", schemas.DIM_HOSPITAL)

@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from wardline import schemas
 from wardline.functions.dates import quarter_of
-from wardline.operators.projections import conform
 
 
 def dim_hospital(registry: DataFrame) -> DataFrame:
-    return conform(registry, schemas.DIM_HOSPITAL)
+    return registry.to(schemas.DIM_HOSPITAL)
 
 
 def dim_time(admissions: DataFrame) -> DataFrame:
     """Every (year, month, week) that occurs, with its quarter."""
     weeks = admissions.select("ano", "mes", "semana_epidemiologica").distinct()
-    return conform(weeks.withColumn("trimestre", quarter_of("mes")), schemas.DIM_TIME)
+    return weeks.withColumn("trimestre", quarter_of("mes")).to(schemas.DIM_TIME)
 
 
 def fact(admissions: DataFrame) -> DataFrame:
-    return conform(admissions, schemas.FACT)
+    return admissions.to(schemas.FACT)

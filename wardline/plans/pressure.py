@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from wardline import schemas, vocabulary as V
-from wardline.operators.projections import conform
 from wardline.operators.statistics import cluster, label_clusters, weighted_index
 
 SIGNALS = ["qtd_internacoes", "permanencia_media", "pacientes_criticos"]
@@ -33,7 +32,7 @@ def pressure_clusters(features: DataFrame, k: int = V.CLUSTERS, restarts: int =
 def pressure_levels(features: DataFrame, k: int = V.CLUSTERS, restarts: int = V.RESTARTS) -> DataFrame:
     """The pressure table: features, cluster, risk level by mean volume, and index. Runs jobs (K-Means)."""
     clustered = pressure_clusters(features, k, restarts)
-    return conform(pressure_index(label_clusters(clustered, "qtd_internacoes")), schemas.PRESSURE)
+    return pressure_index(label_clusters(clustered, "qtd_internacoes")).to(schemas.PRESSURE)
 
 
 def pressure_index_occupancy(features: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from wardline.functions.casts import lenient_cast
 from wardline.functions.codes import is_hospital_type, state_abbrev
 from wardline.functions.dates import iso_date, parse_mixed_date, with_calendar
 from wardline.operators.dedup import dedup_any, latest_by
-from wardline.operators.projections import conform
 from wardline.operators.quality import admission_rules, apply_rules
 
 # Source name -> table name.
@@ -55,7 +54,7 @@ def silver_admissions(bronze: DataFrame, keys: list[str] | None = None) -> DataF
     `bronze` has the admissions schema plus `uf`, the state of the folder.
     """
     clean = apply_rules(typed_admissions(bronze, keys), admission_rules())
-    return conform(with_calendar(clean, "DT_INTER"), schemas.SILVER_ADMISSIONS)
+    return with_calendar(clean, "DT_INTER").to(schemas.SILVER_ADMISSIONS)
 
 
 def silver_registry(bronze: DataFrame) -> DataFrame:
@@ -71,4 +70,4 @@ def silver_registry(bronze: DataFrame) -> DataFrame:
     }).withColumnsRenamed(REGISTRY_NAMES)
     latest = latest_by(typed, ["cnes_id"], "data_atualizacao").filter(F.col("uf").isNotNull())
     beds = {name: F.lit(None).cast("int") for name in ("leitos_totais", "leitos_sus")}
-    return conform(latest.withColumns(beds), schemas.SILVER_REGISTRY)
+    return latest.withColumns(beds).to(schemas.SILVER_REGISTRY)

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from wardline import schemas
 from wardline.functions.numbers import pct_change
 from wardline.operators.joins import with_state
-from wardline.operators.projections import conform
 from wardline.operators.ranking import lag_over
 
 SERIES = ["uf", "cid_principal"]
@@ -31,4 +30,4 @@ def weekly_lag(cases: DataFrame) -> DataFrame:
 def disease_trend(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Weekly cases by state and diagnosis, with the change against the previous week in percent."""
     change = pct_change("qtd_casos", "qtd_casos_semana_anterior")
-    return conform(weekly_lag(weekly_cases(fact, dim)).withColumn("variacao_pct", change), schemas.DISEASE_TREND)
+    return weekly_lag(weekly_cases(fact, dim)).withColumn("variacao_pct", change).to(schemas.DISEASE_TREND)

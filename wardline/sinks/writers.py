@@ -10,7 +10,8 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, columns: list[str], colocate: bool = True) -> None:
+def write_partitioned(df: DataFrame, path: str, columns: list[str], colocate: bool = True,
+                      sort_by: list[str] | None = None) -> None:
     """Replace a Parquet table partitioned by `columns`.
 
     `colocate` gathers the rows of a partition first, so that a folder gets few
@@ -18,9 +19,13 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str], colocate: bo
     partition that is larger than the advisory size over several tasks (one
     state-month may hold a third of the table) and merges small ones. Without
     it rows stay where they are, which suits input already laid out this way.
+    `sort_by` orders the rows within a file, so that filters on those columns
+    skip row groups; the writer sorts by partition anyway, this extends that sort.
     """
     if colocate:
         df = df.hint("rebalance", *[F.col(name) for name in columns])
+    if sort_by:
+        df = df.sortWithinPartitions(*columns, *sort_by)
     df.write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 
