@@ -1,0 +1,100 @@
+"""Quality rules, projections and deduplication."""
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from conftest import plan_of
+from wardline.operators import dedup, projections, quality
+
+NAN = float("nan")
+
+
+@pytest.fixture
+def stays(spark):
+    return spark.createDataFrame(
+        [("a", 0, 1.0, "2023-01-01"), ("b", -1, 1.0, "2023-01-01"), ("c", None, 1.0, "2023-01-01"),
+         ("d", 1, NAN, "2023-01-01"), ("e", -1, -1.0, None), ("f", 1, None, "2023-01-01")],
+        "id string, dias int, valor double, data string")
+
+
+def test_rules_drop_negative_and_unknown(stays, rows):
+    rules = quality.admission_rules("dias", "valor", "data")
+    assert rows(quality.apply_rules(stays, rules), "id") == [("a",), ("d",)]
+    strict = quality.admission_rules("dias", "valor", "data", reject_nan=True)
+    assert rows(quality.apply_rules(stays, strict), "id") == [("a",)]
+
+
+def test_rejects_name_their_reasons_and_complete_the_input(stays, rows):
+    clean, rejected = quality.split_rules(stays, quality.admission_rules("dias", "valor", "data"))
+    reasons = {r.id: r.motivos for r in rejected.collect()}
+    assert reasons == {"b": ["permanencia"], "c": ["permanencia"], "f": ["valor"],
+                       "e": ["permanencia", "valor", "data_internacao"]}
+    assert rows(clean.select("id").union(rejected.select("id"))) == rows(stays, "id")
+
+
+def test_prefix_filter(spark, rows):
+    df = spark.createDataFrame([("A90",), ("a91",), (None,), ("J18",)], "c string")
+    assert rows(quality.filter_code_prefix(df, "c", ["A9"])) == [("A90",), ("a91",)]
+    assert quality.filter_code_prefix(df, "c", []).count() == 4
+    assert quality.filter_code_prefix(df, "c", ["n"]).count() == 0
+
+
+def test_state_validation(spark, rows):
+    df = spark.createDataFrame([(1, "35"), (2, "33"), (3, "x"), (4, None), (5, "35")], "codigo_cnes long, codigo_uf string")
+    valid, counts = quality.validate_state(df, "sp")
+    assert rows(valid, "codigo_cnes") == [(1,), (5,)]
+    assert tuple(counts.first()) == (2, 3)
+    assert quality.validate_state(df, "??")[0].count() == 5
+    assert rows(quality.sample_valid(df, "SP", 1), "codigo_cnes") == [(1,)]
+
+
+def test_coordinates(spark, rows):
+    df = spark.createDataFrame([(1, 1.0, 2.0), (2, None, 2.0), (3, 1.0, None)],
+                               "id long, latitude double, longitude double")
+    assert rows(quality.with_coordinates(df), "id") == [(1,)]
+    assert rows(quality.missing_coordinates(df), "id") == [(2,)]
+
+
+def test_canonical_types(spark):
+    df = spark.sql("""SELECT 7 AS N_AIH, timestamp_ntz'2023-01-31 05:00:00' AS DT_INTER, 20230131 AS DT_SAIDA,
+                      'x' AS DIAS_PERM, 3.0D AS IDADE, '1.5' AS VAL_TOT, CAST(NULL AS STRING) AS SEXO, true AS outro""")
+    got = projections.canonicalize(df)
+    assert tuple(got.first()) == ("7", "2023-01-31", "20230131", None, 3, 1.5, None, True)
+    assert dict(got.dtypes)["DIAS_PERM"] == dict(got.dtypes)["IDADE"] == "bigint"
+
+
+def test_placeholders_are_typed(spark):
+    df = projections.with_typed_nulls(spark.range(1), T.StructType([T.StructField("leitos", T.IntegerType())]))
+    assert df.dtypes == [("id", "bigint"), ("leitos", "int")]
+
+
+@pytest.fixture
+def copies(spark):
+    return spark.createDataFrame(
+        [("1", "b", 2), ("1", "a", 9), ("1", "a", 9), ("2", "z", 1), (None, "n", 1), (None, "m", 2)],
+        "id string, d string, v int")
+
+
+def test_dedup_is_unique_idempotent_and_ordered(copies, rows):
+    once = dedup.dedup_any(copies, ["id"], ["d"])
+    assert rows(once) == [(None, "m", 2), ("1", "a", 9), ("2", "z", 1)]
+    assert rows(dedup.dedup_any(once, ["id"], ["d"])) == rows(once)
+    assert rows(dedup.dedup_any(copies.repartition(3), ["id"], ["d"])) == rows(once)
+
+
+def test_null_keys_can_be_kept(copies, rows):
+    kept = dedup.dedup_any(copies, ["id"], ["d"], keep_null_keys=True)
+    assert rows(kept) == [(None, "m", 2), (None, "n", 1), ("1", "a", 9), ("2", "z", 1)]
+
+
+def test_latest_version(spark, rows):
+    df = spark.createDataFrame(
+        [(1, "2023-01-01", "old"), (1, "2024-01-01", "new"), (2, None, "undated"), (2, "2020-01-01", "dated"),
+         (3, None, "b"), (3, None, "a"), (4, "2024-01-01", "y"), (4, "2024-01-01", "x")],
+        "k long, d string, n string").withColumn("d", F.col("d").cast("date"))
+    assert rows(dedup.latest_by(df, ["k"], "d"), "k", "n") == [(1, "new"), (2, "dated"), (3, "a"), (4, "x")]
+
+
+def test_copies_are_cut_down_before_the_shuffle(copies):
+    plan = plan_of(dedup.dedup_any(copies, ["id"], ["d"]))
+    assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")

@@ -229,7 +229,7 @@ def sink_csv(spark, sf):
     path = fresh_path(spark, "index")
     index = pressure.pressure_index_occupancy(A.occupancy_features(spark, sf))
     writers.write_csv(index, path)
-    back = H.harmonize(spark.read.option("header", True).csv(path), index.schema)
+    back = H.harmonize(tables.read_csv(spark, path), index.schema)
     return comparable(back.select("cnes_id", "nome_estabelecimento", "indice_pressao"))
 
 

@@ -47,8 +47,7 @@ def cluster(df: DataFrame, columns: Sequence[str], keys: Sequence[str], k: int =
     """
     if df.isEmpty():
         return df.withColumn(name, F.lit(None).cast("int"))
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    source = materialize(df.repartition(slots, *keys).sortWithinPartitions(*keys), "features")
+    source = materialize(df.repartition(*keys).sortWithinPartitions(*keys), "features")
     k = len(source.select(keys[0]).take(k))
     if k == 1:
         return source.withColumn(name, F.lit(0))

@@ -34,7 +34,7 @@ def register_tables(spark: SparkSession, gold_root: str, municipalities_path: st
             spark.catalog.recoverPartitions(f"{database}.{name}")
     spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{MUNICIPALITY_TABLE}`")
     spark.sql(f"CREATE TABLE `{database}`.`{MUNICIPALITY_TABLE}` ({_columns(schemas.MUNICIPALITIES)}) "
-              f"USING csv OPTIONS (header 'true') LOCATION '{municipalities_path}'")
+              f"USING csv OPTIONS (header 'true', escape '\"') LOCATION '{municipalities_path}'")
 
 
 def register_views(spark: SparkSession, database: str = "gold") -> dict[str, DataFrame]:

@@ -44,5 +44,5 @@ def land_registry(df: DataFrame, root: str, state: str = "uf") -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Replace a headered CSV table."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Replace a headered CSV table; a quote inside a quoted value is doubled."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

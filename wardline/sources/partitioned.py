@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections.abc import Iterable
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -36,36 +36,50 @@ def read_drifting_parquet(spark: SparkSession, root: str, target: T.StructType,
     A column may be text in one month and a number in the next, which no single
     Parquet read accepts. Folders are therefore grouped by the types their
     footers give the target columns, and every group is one scan: the plan has
-    as many branches as there are type combinations, not as there are months.
+    as many branches as there are conflicting types, not as there are months.
 
     Only folder names and footer schemas reach the driver. Footers are read by
-    Spark, one folder per reader thread.
+    Spark, a folder per reader thread.
     """
     folders = [row.path for row in discover_partitions(spark, root, keys).select("path").toLocalIterator()]
     if not folders:
         raise ValueError(f"no partition folders with {', '.join(keys)} under {root}")
     wanted = {name.upper() for name in target.names}
 
-    def signature(folder: str) -> tuple[tuple[str, T.DataType], ...]:
+    def columns_of(folder: str) -> dict[str, T.StructField]:
         schema = spark.read.parquet(folder).schema
-        return tuple(sorted(((f.name, f.dataType) for f in schema.fields if f.name.upper() in wanted),
-                            key=lambda item: item[0]))
+        return {f.name.upper(): f for f in schema.fields if f.name.upper() in wanted}
 
-    groups = defaultdict(list)
     with ThreadPool(min(FOOTER_READERS, len(folders))) as pool:
-        for folder, found in zip(folders, pool.map(signature, folders)):
-            groups[found].append(folder)
+        groups = _compatible_groups(zip(folders, pool.map(columns_of, folders)))
 
     scans = []
-    for found, members in groups.items():
+    for columns, members in groups:
         # Partition values are declared as text, so that "01" stays "01".
-        schema = T.StructType([T.StructField(name, dtype) for name, dtype in found]
-                              + [T.StructField(key, T.StringType()) for key in keys])
+        schema = T.StructType([*columns.values(), *[T.StructField(key, T.StringType()) for key in keys]])
         scan = spark.read.schema(schema).option("basePath", root).parquet(*members)
         scans.append(harmonize(scan, target, keep))
     return union_all(scans)
 
 
+def _compatible_groups(footers: Iterable[tuple[str, dict[str, T.StructField]]],
+                       ) -> list[tuple[dict[str, T.StructField], list[str]]]:
+    """Folders that one schema can read: the same type wherever they share a column.
+
+    A column that only some folders of a group have is read as NULL from the others.
+    """
+    groups: list[tuple[dict[str, T.StructField], list[str]]] = []
+    for folder, found in footers:
+        for columns, members in groups:
+            if all(columns[name].dataType == field.dataType for name, field in found.items() if name in columns):
+                columns.update({name: field for name, field in found.items() if name not in columns})
+                members.append(folder)
+                break
+        else:
+            groups.append((dict(found), [folder]))
+    return groups
+
+
 def union_all(tables: list[DataFrame]) -> DataFrame:
     """UNION ALL by column name; columns a table lacks are NULL in its rows."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tables)

@@ -29,9 +29,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Headered CSV, all columns text; a quote inside a quoted value is doubled."""
+    return spark.read.option("header", True).option("escape", '"').csv(path)
+
+
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    header = spark.read.option("header", True).csv(path)
-    return harmonize(require_columns(header, schema.names), schema)
+    return harmonize(require_columns(read_csv(spark, path), schema.names), schema)
 
 
 def read_municipalities(spark: SparkSession, path: str) -> DataFrame:
@@ -51,7 +55,7 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 
 def read_code_list(spark: SparkSession, path: str, column: str = "cnes_id") -> DataFrame:
     """Distinct facility codes of a headered CSV: from `column`, else from the first column."""
-    table = spark.read.option("header", True).csv(path)
+    table = read_csv(spark, path)
     source = column if column in table.columns else table.columns[0]
     code = lenient_cast(F.col(f"`{source}`"), T.StringType(), T.LongType())
     return table.select(code.alias(column)).dropna().distinct()
