@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
@@ -57,7 +58,7 @@ def cluster(df: DataFrame, columns: Sequence[str], keys: Sequence[str], k: int =
 
     def fit(offset: int) -> KMeansModel:
         return KMeans(featuresCol="_features", predictionCol=name, k=k, seed=seed + offset,
-                      maxIter=300, tol=1e-4).fit(points)
+                      maxIter=V.MAX_ITERATIONS, tol=math.sqrt(V.CENTRE_SHIFT / k)).fit(points)
 
     with ThreadPool(min(FITS_AT_ONCE, restarts)) as pool:
         models = pool.map(fit, range(restarts))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,11 +27,21 @@ class Paths:
     gold: str
 
 
+def _together(*writes: Callable[[], None]) -> None:
+    """Run writes that do not depend on each other as concurrent jobs; the first error is raised."""
+    with ThreadPool(len(writes)) as pool:
+        for done in [pool.apply_async(write) for write in writes]:
+            done.get()
+
+
 def build_silver(spark: SparkSession, paths: Paths) -> None:
     bronze = read_drifting_parquet(spark, paths.admissions, schemas.ADMISSIONS, schemas.ADMISSION_PARTITIONS)
-    write_partitioned(silver.silver_admissions(bronze), f"{paths.silver}/internacoes", ["ano", "mes", "uf"])
+    admissions = silver.silver_admissions(bronze)
     registry = silver.silver_registry(read_registry(spark, paths.registry))
-    write_partitioned(registry, f"{paths.silver}/estabelecimentos", ["uf"], colocate=False)
+    _together(
+        lambda: write_partitioned(admissions, f"{paths.silver}/internacoes", ["ano", "mes", "uf"]),
+        lambda: write_partitioned(registry, f"{paths.silver}/estabelecimentos", ["uf"], colocate=False),
+    )
 
 
 def build_gold(spark: SparkSession, paths: Paths) -> None:
@@ -42,16 +54,19 @@ def build_gold(spark: SparkSession, paths: Paths) -> None:
     """
     admissions = read_table(spark, f"{paths.silver}/internacoes", schemas.SILVER_ADMISSIONS)
     registry = read_table(spark, f"{paths.silver}/estabelecimentos", schemas.SILVER_REGISTRY)
-    write_table(gold.dim_hospital(registry), f"{paths.gold}/dim_hospital")
-    write_partitioned(gold.fact(admissions), f"{paths.gold}/fato_internacoes", ["ano", "mes"], colocate=False,
-                      sort_by=["cid_principal", "cnes_id"])
-
+    _together(
+        lambda: write_table(gold.dim_hospital(registry), f"{paths.gold}/dim_hospital"),
+        lambda: write_partitioned(gold.fact(admissions), f"{paths.gold}/fato_internacoes", ["ano", "mes"],
+                                  colocate=False, sort_by=["cid_principal", "cnes_id"]),
+    )
     fact = read_table(spark, f"{paths.gold}/fato_internacoes", schemas.FACT)
     dim = read_table(spark, f"{paths.gold}/dim_hospital", schemas.DIM_HOSPITAL)
-    write_table(gold.dim_time(fact), f"{paths.gold}/dim_tempo")
-    write_table(trends.disease_trend(fact, dim), f"{paths.gold}/kpi_tendencia_doencas")
     features = pressure.pressure_features(fact)
-    write_table(pressure.pressure_levels(features), f"{paths.gold}/kpi_pressao_hospitalar")
+    _together(
+        lambda: write_table(gold.dim_time(fact), f"{paths.gold}/dim_tempo"),
+        lambda: write_table(trends.disease_trend(fact, dim), f"{paths.gold}/kpi_tendencia_doencas"),
+        lambda: write_table(pressure.pressure_levels(features), f"{paths.gold}/kpi_pressao_hospitalar"),
+    )
 
 
 def full_run(spark: SparkSession, paths: Paths, database: str = "gold") -> dict[str, DataFrame]:

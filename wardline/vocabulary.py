@@ -33,6 +33,8 @@ OCCUPANCY_WEIGHTS = {"taxa_ocupacao_estimada": 60, "permanencia_media": 25, "pac
 CLUSTERS = 4
 RESTARTS = 10
 SEED = 42
+MAX_ITERATIONS = 300
+CENTRE_SHIFT = 1e-4  # a fit ends when the squared moves of its centres add up to no more than this
 
 # Label of a municipality whose region is unknown.
 UNCLASSIFIED_REGION = "Não classificada"
