@@ -306,6 +306,19 @@ SELECTS = {
         SELECT c_custkey AS codigo_municipio, c_name AS nome_municipio, 'SP' AS uf,
                CASE WHEN c_custkey % 5 IN (0, 1, 2) THEN c_mktsegment ELSE 'Não classificada' END AS regiao_saude
         FROM customer""",
+    "land_admissions": """
+        SELECT * EXCLUDE (partkey, half) REPLACE ('SP' AS uf),
+               CAST(NULL AS VARCHAR) AS PROC_REA, '202301' AS ano_mes
+        FROM dropped WHERE starts_with(DIAG_PRINC, 'PROMO')""",
+    "land_municipalities": """
+        SELECT c_custkey AS codigo_municipio, c_name AS nome_municipio, 'SP' AS uf,
+               CASE WHEN c_custkey % 5 IN (0, 1, 2) THEN c_mktsegment ELSE 'Não classificada' END AS regiao_saude,
+               coalesce(last_event, 5000) AS populacao, CAST(NULL AS DOUBLE) AS meta_leitos_1000hab,
+               last_event IS NULL AS is_estimated
+        FROM customer LEFT JOIN (SELECT k, max(event_id) AS last_event FROM docs
+                                 WHERE event_id % 5 <> 0 AND event_id % 7 <> 0 GROUP BY k) ON k = c_custkey""",
+    "land_registry_codes": """
+        SELECT event_id AS codigo_cnes, event_id % 6 <> 5 AND k = 35 AS encontrado FROM docs""",
     "sink_roundtrip": " UNION ALL ".join(_written(name) for name in ("colocated", "partitioned", "plain")),
     "sink_dynamic": """
         SELECT CAST(N_AIH AS BIGINT) AS N_AIH, VAL_TOT,

@@ -14,7 +14,7 @@ from wardline import schemas
 from wardline.functions import codes, dates, numbers
 from wardline.harness import adapter as A
 from wardline.operators import dedup, joins, months, projections, quality, ranking, statistics
-from wardline.plans import full_run as runs, gold, pressure, reports, silver, trends, views
+from wardline.plans import full_run as runs, gold, landing, pressure, reports, silver, trends, views
 from wardline.session import fresh_path
 from wardline.sinks import writers
 from wardline.sinks.catalog import GOLD_TABLES, MUNICIPALITY_TABLE
@@ -151,20 +151,19 @@ def json_lookup(spark, sf):
     return comparable(payloads.unwrap_registry_payload(_registry_documents(spark, sf), single=True))
 
 
-@query
-def json_population(spark, sf):
+def _population_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event as a statistics answer; some hold no usable number."""
     key = F.get_json_object("props", "$.k").cast("int") + 350000
     value = F.when(F.col("event_id") % 5 == 0, "-").otherwise(F.col("event_id").cast("string"))
     series = (F.when(F.col("event_id") % 7 == 0, "{}")
               .otherwise(F.concat(F.lit('{"2022": "7", "2024": "'), value, F.lit('"}'))))
-    documents = A.table(spark, sf, "events").select("event_id", F.concat(
+    return A.table(spark, sf, "events").select("event_id", F.concat(
         F.lit('[{"resultados": [{"series": [{"localidade": {"id": "'), key.cast("string"),
         F.lit('"}, "serie": '), series, F.lit("}]}]}]")).alias("payload"))
-    return payloads.flatten_population(documents, order="event_id")
 
 
-@query
-def json_municipality(spark, sf):
+def _locality_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Every customer as a locality answer, in five kinds of nesting."""
     kind = F.col("c_custkey") % 5
     segment = F.concat(F.lit('{"nome": "'), F.col("c_mktsegment"), F.lit('"}'))
     levels = (
@@ -174,10 +173,50 @@ def json_municipality(spark, sf):
                                   segment))
         .when(kind == 3, F.concat(F.lit(', "microrregiao": null, "regiao-imediata": '), segment))
         .otherwise(""))
-    documents = A.table(spark, sf, "customer").select(F.concat(
+    return A.table(spark, sf, "customer").select(F.concat(
         F.lit('[{"id": '), F.col("c_custkey").cast("string"), F.lit(', "nome": "'), F.col("c_name"), F.lit('"'),
         levels, F.lit("}]")).alias("payload"))
-    return payloads.flatten_municipalities(documents, "SP")
+
+
+@query
+def json_population(spark, sf):
+    return payloads.flatten_population(_population_documents(spark, sf), order="event_id")
+
+
+@query
+def json_municipality(spark, sf):
+    return payloads.flatten_municipalities(_locality_documents(spark, sf), "SP")
+
+
+# Landing ------------------------------------------------------------------------------------------
+
+
+@query
+def land_admissions(spark, sf):
+    """All lines landed as one month of one state, with lower-case names and one diagnosis prefix; read back."""
+    root = fresh_path(spark, "landed-month")
+    raw = A.dropped_admissions(spark, sf).drop("uf", "ano_mes", "PROC_REA")
+    landing.land_admissions(raw.toDF(*[name.lower() for name in raw.columns]), root, "SP", 2023, 1, ["promo"])
+    return comparable(partitioned.read_drifting_parquet(spark, root, schemas.ADMISSIONS,
+                                                        schemas.ADMISSION_PARTITIONS, ("uf", "ano_mes")))
+
+
+@query
+def land_municipalities(spark, sf):
+    """Customers as localities; those with a population event get its value, the others an estimate."""
+    places = _locality_documents(spark, sf)
+    statistics_ = _population_documents(spark, sf).withColumn(
+        "payload", F.replace("payload", F.lit('{"id": "350'), F.lit('{"id": "')))
+    return landing.municipality_reference(places, statistics_, "SP", 5000, order="event_id")
+
+
+@query
+def land_registry_codes(spark, sf):
+    """Lookups of every event: the records found in one state, and the codes left over."""
+    wanted = A.table(spark, sf, "events").select(F.col("event_id").alias("codigo_cnes"))
+    found, missing = landing.registry_of_codes(_registry_documents(spark, sf), wanted, "SP")
+    return found.select("codigo_cnes", F.lit(True).alias("encontrado")).unionByName(
+        missing.select("codigo_cnes", F.lit(False).alias("encontrado")))
 
 
 # Sinks --------------------------------------------------------------------------------------------
