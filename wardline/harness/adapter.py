@@ -21,7 +21,7 @@ UNMAPPED_CODE = 99
 # The slice reports are run on.
 CASES = CaseSlice(("PROMO",), "SP", 1997, 1999)
 
-# Lower index bounds of the levels above the first, for checks without clustering.
+# Lower index bounds of the levels above the first, equally spaced, for checks without clustering.
 LEVEL_BOUNDS = (40, 50, 60)
 
 
@@ -194,10 +194,9 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pressure_table(fact: DataFrame) -> DataFrame:
     """Pressure table whose level follows from the index alone, so that SQL can repeat it."""
-    index = F.col("indice_pressao")
-    level = F.lit(V.RISK_LEVELS[0])
-    for bound, name in zip(LEVEL_BOUNDS, V.RISK_LEVELS[1:]):
-        level = F.when(index >= bound, name).otherwise(level)
+    low, _, high = LEVEL_BOUNDS
+    step = F.width_bucket(F.col("indice_pressao"), F.lit(low), F.lit(high), F.lit(len(LEVEL_BOUNDS) - 1))
+    level = F.get(F.array(*[F.lit(name) for name in V.RISK_LEVELS]), step.cast("int"))
     return pressure.pressure_index(pressure.pressure_features(fact)).withColumn("nivel_risco", level)
 
 

@@ -30,10 +30,10 @@ def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> Da
     filled = fill_zero(df, columns)
     moments = filled.agg(F.struct(
         *[F.avg(c).alias(f"{c}_mean") for c in columns],
-        *[F.stddev_pop(c).alias(f"{c}_std") for c in columns]).alias("m")).scalar()
+        *[one_if_zero(F.stddev_pop(c)).alias(f"{c}_std") for c in columns]).alias("m")).scalar()
     scaled = filled.withColumn("_m", moments)
     return scaled.select(*df.columns, *[
-        ((F.col(c) - F.col(f"_m.{c}_mean")) / one_if_zero(F.col(f"_m.{c}_std"))).alias(f"{c}{suffix}")
+        ((F.col(c) - F.col(f"_m.{c}_mean")) / F.col(f"_m.{c}_std")).alias(f"{c}{suffix}")
         for c in columns])
 
 
@@ -89,7 +89,7 @@ def weighted_index(df: DataFrame, weights: Mapping[str, float], name: str = "ind
     absolute = absolute or {}
     relative = list(weights)
     filled = fill_zero(df, [*relative, *absolute])
-    tops = F.struct(*[F.max(c).alias(c) for c in relative]).alias("_top")
+    tops = F.struct(*[one_if_zero(F.max(c)).alias(c) for c in relative]).alias("_top")
     if within:
         maxima = filled.groupBy(*within).agg(tops).withColumnsRenamed({c: f"_{c}" for c in within})
         same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in within]
@@ -97,6 +97,6 @@ def weighted_index(df: DataFrame, weights: Mapping[str, float], name: str = "ind
     else:
         filled = filled.withColumn("_top", filled.agg(tops).scalar())
     terms = [F.least(F.greatest(F.col(c), F.lit(0.0)), F.lit(1.0)) * points for c, points in absolute.items()]
-    terms += [F.col(c) / one_if_zero(F.col(f"_top.{c}")) * points for c, points in weights.items()]
+    terms += [F.col(c) / F.col(f"_top.{c}") * points for c, points in weights.items()]
     index = reduce(lambda left, right: left + right, terms)
     return filled.withColumn(name, round_tenth(index)).drop("_top")
