@@ -1,7 +1,9 @@
 """Scans, landed payloads, writers and the catalog."""
 
 import json
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -195,6 +197,9 @@ def test_partitioned_writes(spark, tmp_path, rows):
         path = str(tmp_path / f"c{colocate}")
         writers.write_partitioned(df, path, ["p"], colocate, sort_by=["id"])
         assert rows(spark.read.schema(df.schema).parquet(path), "p", "id") == rows(df)
+        for file in Path(path).glob("p=*/*.parquet"):
+            ids = pq.read_table(file, columns=["id"], partitioning=None)["id"].to_pylist()
+            assert ids == sorted(ids)
     writers.write_partitioned(df.limit(5), path, ["p"])
     assert spark.read.parquet(path).count() == 5
 

@@ -56,6 +56,8 @@ def test_population_fallback_is_flagged(spark, rows):
     places = spark.createDataFrame([(1, "a"), (2, "b")], "codigo_municipio long, nome string")
     known = spark.createDataFrame([(1, 500)], "codigo_municipio long, populacao long")
     assert rows(joins.fill_population(places, known, 7)) == [(1, "a", 500, False), (2, "b", 7, True)]
+    middle = known.agg(F.median("populacao")).scalar()
+    assert rows(joins.fill_population(places, known, middle)) == [(1, "a", 500, False), (2, "b", 500, True)]
 
 
 def test_coordinates_come_from_the_municipality(spark, rows):

@@ -136,36 +136,31 @@ CTES = {
                        WHEN indice_pressao >= {_LOW} THEN 'Atenção' ELSE 'Baixo risco' END AS nivel_risco
         FROM indexed""",
     "overview": """
-        SELECT f.ano, f.mes, h.uf, h.nome_municipio, count(*) AS qtd_internacoes,
-               CAST(sum(CAST(f.valor_total AS DECIMAL(18, 2))) AS DOUBLE) AS valor_total_pago,
-               avg(f.dias_permanencia) AS permanencia_media, avg(p.indice_pressao) AS indice_pressao_medio,
-               max(p.nivel_risco) AS nivel_risco_predominante
-        FROM fato f JOIN placed h ON h.cnes_id = f.cnes_id
-        LEFT JOIN press p ON p.cnes_id = f.cnes_id AND p.ano = f.ano AND p.mes = f.mes
-        GROUP BY f.ano, f.mes, h.uf, h.nome_municipio""",
+        SELECT ano, mes, uf, nome_municipio, count(*) AS qtd_internacoes,
+               CAST(sum(CAST(valor_total AS DECIMAL(18, 2))) AS DOUBLE) AS valor_total_pago,
+               avg(dias_permanencia) AS permanencia_media, avg(indice_pressao) AS indice_pressao_medio,
+               max(nivel_risco) AS nivel_risco_predominante
+        FROM fato JOIN placed USING (cnes_id)
+        LEFT JOIN (SELECT cnes_id, ano, mes, indice_pressao, nivel_risco FROM press) USING (cnes_id, ano, mes)
+        GROUP BY ALL""",
     "region_pressure": """
-        SELECT h.uf, h.nome_municipio, h.latitude, h.longitude, h.regiao_saude,
-               avg(p.indice_pressao) AS indice_pressao_medio, min(p.nivel_risco) AS nivel_risco_regiao,
-               CAST(sum(f.dias_permanencia) AS DOUBLE) / nullif(h.populacao, 0) * 1000 AS internacoes_por_1000hab,
-               CAST(count(*) AS DOUBLE) / nullif(h.populacao, 0) * 1000 AS admissoes_por_1000hab
-        FROM press p JOIN placed h ON h.cnes_id = p.cnes_id
-        JOIN fato f ON f.cnes_id = p.cnes_id AND f.ano = p.ano AND f.mes = p.mes
-        GROUP BY h.uf, h.nome_municipio, h.latitude, h.longitude, h.regiao_saude, h.populacao""",
-    "alerts": """
-        SELECT h.nome_estabelecimento, h.uf, h.nome_municipio, p.ano, p.mes, p.indice_pressao, p.nivel_risco,
-               p.qtd_internacoes, p.permanencia_media,
-               rank() OVER (PARTITION BY p.ano, p.mes ORDER BY p.indice_pressao DESC NULLS LAST)
-                   AS ranking_criticidade
-        FROM press p JOIN placed h ON h.cnes_id = p.cnes_id
-        WHERE p.nivel_risco IN ('Crítico', 'Sobrecarga iminente')""",
+        SELECT uf, nome_municipio, latitude, longitude, regiao_saude,
+               avg(indice_pressao) AS indice_pressao_medio, min(nivel_risco) AS nivel_risco_regiao,
+               CAST(sum(dias_permanencia) AS DOUBLE) * 1000 / nullif(populacao, 0) AS internacoes_por_1000hab,
+               CAST(count(*) AS DOUBLE) * 1000 / nullif(populacao, 0) AS admissoes_por_1000hab
+        FROM fato JOIN press USING (cnes_id, ano, mes) JOIN placed USING (cnes_id)
+        GROUP BY uf, nome_municipio, latitude, longitude, regiao_saude, populacao""",
+    "alerts": f"""
+        SELECT nome_estabelecimento, uf, nome_municipio, ano, mes, indice_pressao, nivel_risco,
+               qtd_internacoes, permanencia_media,
+               rank() OVER (PARTITION BY ano, mes ORDER BY indice_pressao DESC NULLS LAST) AS ranking_criticidade
+        FROM placed JOIN press USING (cnes_id) WHERE indice_pressao >= {_MID}""",
     "alerts_state": f"""
         SELECT * FROM alerts WHERE uf = '{A.CASES.state}'
         ORDER BY ano DESC, mes DESC, ranking_criticidade, nome_estabelecimento, nome_municipio NULLS LAST,
                  nivel_risco, qtd_internacoes, permanencia_media
         LIMIT 30""",
-    "case_rows": f"""
-        SELECT f.ano, f.mes, f.valor_total, f.dias_permanencia, h.*
-        FROM fato f JOIN placed h ON h.cnes_id = f.cnes_id WHERE {_SLICE}""",
+    "case_rows": f"SELECT * FROM fato JOIN placed USING (cnes_id) WHERE {_SLICE}",
     "case_overview": """
         SELECT ano, mes, uf, nome_municipio, count(*) AS qtd_internacoes,
                CAST(sum(CAST(valor_total AS DECIMAL(18, 2))) AS DOUBLE) AS valor_total_pago,
@@ -338,13 +333,12 @@ SELECTS = {
                   FROM run_fato LEFT JOIN (SELECT cnes_id, uf FROM dim) USING (cnes_id)
         UNION ALL SELECT 'municipios_referencia', count(*) FROM muni""",
     "full_run": """
-        SELECT f.ano, f.mes, h.uf, h.nome_municipio, count(*) AS qtd_internacoes,
-               round(CAST(sum(CAST(f.valor_total AS DECIMAL(18, 2))) AS DOUBLE), 6) AS valor_total_pago,
-               round(avg(f.dias_permanencia), 6) AS permanencia_media,
-               round(avg(p.indice), 6) AS indice_pressao_medio
-        FROM run_fato f JOIN placed h ON h.cnes_id = f.cnes_id
-        LEFT JOIN run_press p ON p.cnes_id = f.cnes_id AND p.ano = f.ano AND p.mes = f.mes
-        GROUP BY f.ano, f.mes, h.uf, h.nome_municipio""",
+        SELECT ano, mes, uf, nome_municipio, count(*) AS qtd_internacoes,
+               round(CAST(sum(CAST(valor_total AS DECIMAL(18, 2))) AS DOUBLE), 6) AS valor_total_pago,
+               round(avg(dias_permanencia), 6) AS permanencia_media, round(avg(indice), 6) AS indice_pressao_medio
+        FROM run_fato JOIN placed USING (cnes_id)
+        LEFT JOIN (SELECT cnes_id, ano, mes, indice FROM run_press) USING (cnes_id, ano, mes)
+        GROUP BY ALL""",
     "proj_dim": """
         SELECT * EXCLUDE (data_atualizacao) REPLACE (round(latitude, 6) AS latitude, round(longitude, 6) AS longitude)
         FROM dim""",

@@ -12,7 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wardline import vocabulary as V
-from wardline.functions.numbers import one_if_zero, round_tenth
+from wardline.functions.numbers import clip, one_if_zero, round_tenth
 from wardline.session import materialize
 
 FITS_AT_ONCE = 10
@@ -96,7 +96,7 @@ def weighted_index(df: DataFrame, weights: Mapping[str, float], name: str = "ind
         filled = filled.join(maxima, same).drop(*[f"_{c}" for c in within])
     else:
         filled = filled.withColumn("_top", filled.agg(tops).scalar())
-    terms = [F.least(F.greatest(F.col(c), F.lit(0.0)), F.lit(1.0)) * points for c, points in absolute.items()]
+    terms = [clip(c, 0.0, 1.0) * points for c, points in absolute.items()]
     terms += [F.col(c) / F.col(f"_top.{c}") * points for c, points in weights.items()]
     index = reduce(lambda left, right: left + right, terms)
     return filled.withColumn(name, round_tenth(index)).drop("_top")
