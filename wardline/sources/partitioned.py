@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
+from itertools import chain
 from multiprocessing.pool import ThreadPool
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from wardline.sources.harmonize import harmonize
 
 FOOTER_READERS = 32
+FOOTER_BATCH = 16
 
 
 def discover_partitions(spark: SparkSession, root: str, keys: tuple[str, ...] = ("uf", "ano_mes")) -> DataFrame:
@@ -38,20 +42,33 @@ def read_drifting_parquet(spark: SparkSession, root: str, target: T.StructType,
     footers give the target columns, and every group is one scan: the plan has
     as many branches as there are conflicting types, not as there are months.
 
-    Only folder names and footer schemas reach the driver. Footers are read by
-    Spark, a folder per reader thread.
+    Only folder names and footer schemas reach the driver. Spark reads the
+    footers, of a batch of folders at a time; only batches whose types conflict
+    are read folder by folder.
     """
     folders = [row.path for row in discover_partitions(spark, root, keys).select("path").toLocalIterator()]
     if not folders:
         raise ValueError(f"no partition folders with {', '.join(keys)} under {root}")
     wanted = {name.upper() for name in target.names}
+    # With no more folders than tasks, schemas meet (and conflict) on the driver and not within a task.
+    size = min(FOOTER_BATCH, spark.sparkContext.defaultParallelism)
+    batches = [folders[start:start + size] for start in range(0, len(folders), size)]
 
-    def columns_of(folder: str) -> dict[str, T.StructField]:
-        schema = spark.read.parquet(folder).schema
+    def columns_of(batch: list[str]) -> dict[str, T.StructField]:
+        schema = spark.read.option("basePath", root).option("mergeSchema", len(batch) > 1).parquet(*batch).schema
         return {f.name.upper(): f for f in schema.fields if f.name.upper() in wanted}
 
-    with ThreadPool(min(FOOTER_READERS, len(folders))) as pool:
-        groups = _compatible_groups(zip(folders, pool.map(columns_of, folders)))
+    def footers(batch: list[str]) -> list[tuple[str, dict[str, T.StructField]]]:
+        try:
+            shared = columns_of(batch)
+        except (PySparkException, Py4JJavaError):
+            if len(batch) == 1:
+                raise
+            return [(folder, columns_of([folder])) for folder in batch]
+        return [(folder, shared) for folder in batch]
+
+    with ThreadPool(min(FOOTER_READERS, len(batches))) as pool:
+        groups = _compatible_groups(chain.from_iterable(pool.map(footers, batches)))
 
     scans = []
     for columns, members in groups:
