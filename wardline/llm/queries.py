@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import simhash
+from wardline.llm import packing, simhash, toxicity
 from wardline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,17 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op2_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+
+
+@query
+def op4_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"))
+
+
 @query
 def op6_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
