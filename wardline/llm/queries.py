@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import packing, simhash, toxicity
+from wardline.llm import packing, simhash, surrogates, toxicity
 from wardline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +34,9 @@ def op4_packing(spark, sf):
 @query
 def op6_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op10_surrogates(spark, sf):
+    found = surrogates.replace_entities(table(spark, sf, "documents"), count="n_replaced")
+    return found.select("doc_id", "text", "n_replaced")
