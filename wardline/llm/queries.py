@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import packing, simhash, surrogates, toxicity
+from wardline.llm import mixing, packing, simhash, surrogates, toxicity
 from wardline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,12 @@ def op6_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+@query
+def op9_mixing(spark, sf):
+    found = mixing.taken(mixing.mix(table(spark, sf, "documents")))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query
 def op10_surrogates(spark, sf):
     found = surrogates.replace_entities(table(spark, sf, "documents"), count="n_replaced")
