@@ -35,9 +35,10 @@ def bounded_sample(df: DataFrame, limit: int, *key: str) -> DataFrame:
     return df.orderBy(F.xxhash64(*key), *key).limit(limit)
 
 
-def long_first(values: pd.Series) -> pd.Series:
-    """Nullable 64-bit ids that survive pandas without turning into doubles."""
-    return values.astype("Int64")
+def known_labels(labels: DataFrame, key: str, label: str) -> DataFrame:
+    """`k`, `y`: keys that may be learnt from and their label, 0 or 1; the greater where rows disagree."""
+    return (labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(F.col(key)))
+            .groupBy(F.col(key).alias("k")).agg(F.max(label).cast("int").alias("y")))
 
 
 def whole_groups(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:

@@ -186,7 +186,7 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
     found = materialize(found, "taken")
     rows = docs.select(F.struct("*").alias("wl_row"))
     size = F.coalesce(F.regexp_count(F.col(f"wl_row.{text}"), F.lit(WORD)), F.lit(0)).cast("long")
-    joined = rows.join(found, F.col(f"wl_row.{key}").eqNullSafe(F.col("wl_mix.key"))
+    joined = rows.join(found.hint("merge"), F.col(f"wl_row.{key}").eqNullSafe(F.col("wl_mix.key"))
                        & F.col(f"wl_row.{source}").cast("string").eqNullSafe(F.col("wl_mix.source"))
                        & (size == F.col("wl_mix.size")))
     whole = F.floor(F.col("wl_mix.taken") / F.col("wl_mix.size")).cast("int")

@@ -100,7 +100,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: s
     `buckets` rows reach the driver. Without trusted texts all ratios are 0.
     """
     marks = trusted.select(F.col(key).alias("k")).where(F.col("k").isNotNull()).distinct().withColumn("own", F.lit(True))
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(marks, "k", "left")
+    # the keys grow with the corpus: the same plan, a merge join that AQE may split, at every size
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(marks.hint("merge"), "k", "left")
     schema = "bucket long, n long, n_trusted long"
 
     def counted(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import mixing, packing, simhash, surrogates, toxicity
+from wardline.llm import gam, mixing, ngram_rules, packing, simhash, surrogates, toxicity
 from wardline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,11 +31,24 @@ def op4_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"))
 
 
+@query
+def op5_ngram_rules(spark, sf):
+    docs = table(spark, sf, "documents")
+    trusted = table(spark, sf, "labels").where("quality = 1")
+    return ngram_rules.judge(docs, ngram_rules.log_ratios(docs, trusted))
+
+
 @query
 def op6_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+@query
+def op8_gam(spark, sf):
+    docs = table(spark, sf, "documents")
+    return gam.score(docs, gam.fit(docs, table(spark, sf, "labels")))
+
+
 @query
 def op9_mixing(spark, sf):
     found = mixing.taken(mixing.mix(table(spark, sf, "documents")))

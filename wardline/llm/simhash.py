@@ -143,4 +143,5 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     gone = materialize(found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("gone")).distinct(), "gone")
     # a repeated key whose rows lie in two components stays where it is the least of one
     stays = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("gone")).distinct()
-    return docs.join(gone.join(stays, "gone", "left_anti"), docs[key] == F.col("gone"), "left_anti")
+    # the keys grow with the corpus: the same plan, a merge join that AQE may split, at every size
+    return docs.join(gone.join(stays, "gone", "left_anti").hint("merge"), docs[key] == F.col("gone"), "left_anti")
