@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import gam, mixing, ngram_rules, packing, simhash, surrogates, toxicity
+from wardline.llm import gam, mixing, ngram_rules, packing, pq, simhash, surrogates, toxicity
 from wardline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op2_toxicity(spark, sf):
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
 
 
+@query
+def op3_pq(spark, sf):
+    return pq.near_duplicates(table(spark, sf, "embeddings"))
+
+
 @query
 def op4_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"))
