@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import gam, mixing, ngram_rules, packing, pq, simhash, surrogates, toxicity
+from wardline.llm import gam, mixing, ngram_rules, packing, pq, simhash, surrogates, toxicity, warc
 from wardline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,11 @@ def op6_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+@query
+def op7_warc(spark, sf):
+    return warc.round_trip(table(spark, sf, "pages"))
+
+
 @query
 def op8_gam(spark, sf):
     docs = table(spark, sf, "documents")
