@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import gam, mixing, ngram_rules, packing, pq, simhash, surrogates, toxicity, warc
+from wardline.llm import gam, mixing, ngram_rules, packing, pq, simhash, suffix, surrogates, toxicity, warc
 from wardline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_suffix(spark, sf):
+    return suffix.remove_repeats(table(spark, sf, "documents"))
+
+
 @query
 def op2_toxicity(spark, sf):
     docs = table(spark, sf, "documents")
