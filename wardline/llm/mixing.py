@@ -8,7 +8,7 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from wardline.llm.common import WORD
 from wardline.session import materialize
@@ -130,11 +130,11 @@ def slots(spark, takes: list[int], block: int = BLOCK, piece: int = SLOTS_PER_PI
     if not total:
         return spark.createDataFrame([], schema)
     count = sum(needed)
-    edges = np.array([(sum(takes[:i + 1]) << 64) // total - 1 for i in range(len(takes))], np.uint64)
+    edges = np.array([min((sum(takes[:i]) << 64) // total, (1 << 64) - 1) for i in range(1, len(takes))], np.uint64)
 
     def sources(first: int) -> np.ndarray:
         points = np.arange(first, min(first + piece, count), dtype=np.uint64) * np.uint64(GOLDEN)
-        return np.searchsorted(edges, points)
+        return np.searchsorted(edges, points, "right")
 
     def counted(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -206,7 +206,7 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
     return copies.select(*columns)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _first_words(texts: pd.Series, counts: pd.Series) -> pd.Series:
     """Each text up to the end of its n-th word; null where no number is given."""
     import re
