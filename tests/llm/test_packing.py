@@ -1,0 +1,66 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tests_llm_helpers import prose
+from wardline.llm import packing
+
+
+@pytest.mark.parametrize("text", ["", "a", " a", "a ", "a  b", "\n", "a\n b\n", "don't 'tis it's", "é ü 😀 ok", "x <|endoftext|> y",
+                                  "tab\there  \n z", " a b c d", prose(3, 400)])
+def test_ids_are_the_tokenizers(text):
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.encoder(packing.TOKENIZER).ids(text).tolist() == model.encode(text, add_special_tokens=False).ids
+
+
+def test_the_plan_uses_every_piece_once_and_fits():
+    rng = random.Random(4)
+    for capacity in (10, 64, 500):
+        counts = {rng.randint(1, capacity): rng.randint(1, 50) for _ in range(60)}
+        made = packing.plan(counts, capacity)
+        used = {}
+        for lengths, times in made:
+            assert sum(lengths) <= capacity and times > 0
+            for length in lengths:
+                used[length] = used.get(length, 0) + times
+        assert used == counts
+        least = -(-sum(length * n for length, n in counts.items()) // capacity)
+        assert sum(times for _, times in made) <= least * 1.25 + 2
+
+
+def test_exact_complements_are_found():
+    assert sum(t for _, t in packing.plan({7: 5, 3: 5, 6: 2, 2: 4}, 10)) == 7
+    assert packing.plan({}, 10) == []
+    assert packing._exact(np.array([0, 0, 1, 2, 0, 0, 0, 0, 0]), 8, 3) == (3, 3, 2)
+    assert packing._exact(np.array([0, 0, 0, 1, 0, 0]), 6, 2) is None
+
+
+def test_pieces_and_places(documents):
+    long = prose(5, 3000)
+    rows = [(i, prose(i, i % 90)) for i in range(80)] + [(100, long), (101, None), (102, ""), (3, prose(3, 3)), (None, "free"), (104, long)]
+    found = packing.pack(documents(rows, extra=True)).toPandas()
+    encode = packing.encoder(packing.TOKENIZER).ids
+    expected = []
+    for key, text in rows:
+        ids = np.append(encode(text), 0).astype("<u4")
+        pieces = -(-len(ids) // 2048)
+        start = 0
+        for number in range(pieces):
+            end = len(ids) - 2048 * (pieces - 1 - number)
+            expected.append((key, number, start, end - start, zlib.crc32(ids[start:end].tobytes())))
+            start = end
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    got = [tuple(None if v != v else v for v in row) for row in found[names].itertuples(index=False)]
+    assert sorted(got, key=str) == sorted(((float(k) if k is not None else None, *rest) for k, *rest in expected), key=str)
+    placed = found.sort_values(["sequence_id", "offset"])
+    assert (placed["offset"] == placed.groupby("sequence_id")["length"].cumsum() - placed["length"]).all()
+    assert placed.groupby("sequence_id")["length"].sum().max() <= 2048
+    assert found["sequence_id"].nunique() <= -(-found["length"].sum() // 2048) + 2
+
+
+def test_an_empty_table(documents):
+    assert packing.pack(documents([])).count() == 0

@@ -1,0 +1,84 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from wardline.llm import pq
+
+
+def vectors():
+    rng = np.random.default_rng(9)
+    rows = []
+    for key in range(400):
+        if rows and rng.random() < 0.6:
+            near = np.array(rows[rng.integers(len(rows))][1], float)
+            row = near + rng.normal(0, rng.choice([0.0, 0.02, 0.05, 0.1]), 16) * np.linalg.norm(near) / 2
+        else:
+            row = rng.normal(0, 1, 16)
+        rows.append((key * 3, [float(np.float32(x)) for x in row * rng.choice([1.0, 4.0])], int(rng.integers(3))))
+    return rows
+
+
+def plain(rows, cosine=0.93):
+    usable = {k: (np.array(v, float), g) for k, v, g in rows
+              if v and g is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)}
+    links = {k: set() for k, *_ in rows}
+    for a, (x, g) in usable.items():
+        for b, (y, h) in usable.items():
+            if a < b and g == h and len(x) == len(y) and x @ y / np.sqrt(x @ x * (y @ y)) >= cosine:
+                links[a].add(b)
+                links[b].add(a)
+    root = {}
+    for k in sorted(links):
+        stack = [k] if k not in root else []
+        while stack:
+            at = stack.pop()
+            if at not in root:
+                root[at] = k
+                stack += links[at]
+    return {k: (len(links[k]), root[k], root[k] == k) for k in links}
+
+
+def run(spark, rows, **options):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    for name in ("node", "data", "size", "digest", "key"):
+        df = df.withColumn(name, F.lit("x"))
+    found = pq.near_duplicates(df, **options)
+    assert found.columns == ["vec_id", "n_links", "component_id", "kept"]
+    return {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in found.collect()}
+
+
+@pytest.mark.parametrize("options", [{"margin": 1.0, "per_list": 40}, {"margin": 1.0, "per_list": 60, "piece": 16}, {}])
+def test_links_and_components_equal_brute_force(spark, options):
+    rows = vectors()
+    assert run(spark, rows, **options) == plain(rows)
+
+
+def test_the_default_margin_finds_nine_of_ten_links(spark):
+    rows = vectors()
+    got, expected = run(spark, rows, per_list=20), plain(rows)
+    assert all(got[k][0] <= expected[k][0] for k in expected)
+    assert sum(v[0] for v in got.values()) >= 0.9 * sum(v[0] for v in expected.values())
+
+
+def test_unusable_vectors_link_with_nothing(spark):
+    one = [1.0, 2.0, 3.0]
+    rows = [(1, one, 0), (2, one, 0), (3, [2.0, 4.0, 6.0], 0), (4, None, 0), (5, [0.0, 0.0, 0.0], 0), (6, [1.0, None, 3.0], 0),
+            (7, [1.0, float("nan"), 3.0], 0), (8, one, None), (9, [], 0), (10, [1.0, 2.0], 0), (11, one, 1), (12, [1e30, 2e30, 3e30], 0)]
+    got = run(spark, rows)
+    assert got == plain(rows)
+    assert got[1] == (3, 1, True) and got[4] == (0, 4, True)
+
+
+def test_null_keys_repeats_and_an_empty_table(spark):
+    one = [1.0, 2.0]
+    df = spark.createDataFrame([(None, one, 0), (5, one, 0), (5, one, 0)], "vec_id long, embedding array<double>, label int")
+    got = sorted(tuple(r) for r in pq.near_duplicates(df).select(F.coalesce("vec_id", F.lit(-1)), "n_links", "component_id", "kept").collect())
+    assert got == [(-1, 2, 5, True), (5, 2, 5, True), (5, 2, 5, True)]
+    assert pq.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_a_bounded_sample_still_indexes_every_vector(spark):
+    rows = vectors()
+    assert run(spark, rows, sample=30, per_list=50, margin=1.0) == plain(rows)

@@ -124,14 +124,17 @@ def _pair_tree(gradient: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, fl
     best, gain = None, -1.0
     for turned in (False, True):
         g, w = (gradient.T, weight.T) if turned else (gradient, weight)
-        _, cut = _best_cut(g.sum(axis=1), w.sum(axis=1))
-        cut = cut or g.shape[0] // 2
-        value, total = np.zeros(g.shape), 0.0
-        for rows in (slice(0, cut), slice(cut, None)):
-            value[rows] = _tree(g[rows].sum(axis=0), w[rows].sum(axis=0), 1)
-            total += float((value[rows] * g[rows].sum(axis=0)).sum()) / max(value[rows].shape[0], 1)
-        if total > gain:
-            best, gain = (value.T if turned else value), total
+        above, heavy = np.cumsum(g, axis=0), np.cumsum(w, axis=0)
+        # a feature that shows nothing by itself may still be the one to cut first, so a cut is judged by both
+        for cut in sorted({max(1, g.shape[0] * part // 8) for part in range(1, 8)} & set(range(1, g.shape[0]))):
+            sides = ((above[cut - 1], heavy[cut - 1]), (above[-1] - above[cut - 1], heavy[-1] - heavy[cut - 1]))
+            leaves = [_tree(side_g, side_w, 1) for side_g, side_w in sides]
+            total = sum(float((leaf * side_g).sum()) for leaf, (side_g, _) in zip(leaves, sides))
+            if total > gain:
+                value = np.concatenate([np.tile(leaves[0], (cut, 1)), np.tile(leaves[1], (g.shape[0] - cut, 1))])
+                best, gain = (value.T if turned else value), total
+    if best is None:
+        return np.zeros(gradient.shape), 0.0
     return best, gain
 
 
