@@ -219,3 +219,29 @@ def test_landed_months_read_back_in_any_type(spark, tmp_path):
     df = spark.read.parquet(root)
     assert sorted(tuple(r) for r in df.select("N_AIH", "DT_INTER", "DIAS_PERM").collect()) == [
         ("1", "2023-01-05", 4), ("b", "20230205", 5)]
+
+
+def _month(spark, root, name, rows, ddl, mode="append"):
+    spark.createDataFrame(rows, ddl).coalesce(1).write.mode(mode).parquet(f"{root}/uf=SP/ano_mes={name}")
+
+
+@pytest.mark.parametrize("beside", [[], ["202302"], ["202302", "202303"]])
+def test_no_column_is_lost_whatever_lies_beside(spark, tmp_path, beside):
+    root = str(tmp_path / "lake")
+    # one folder of two files: only one has PROC_REA, and they differ in the type of DIAS_PERM
+    _month(spark, root, "202301", [("1", 5)], "N_AIH string, DIAS_PERM long")
+    _month(spark, root, "202301", [("2", "7", "x")], "N_AIH string, DIAS_PERM string, PROC_REA string")
+    for name in beside:
+        _month(spark, root, name, [(3, 9.5)], "N_AIH long, VAL_TOT double")
+    found = partitioned.read_drifting_parquet(spark, root, schemas.ADMISSIONS).where("N_AIH IN ('1', '2')")
+    assert sorted((r.N_AIH, r.DIAS_PERM, r.PROC_REA) for r in found.collect()) == [("1", 5, None), ("2", 7, "x")]
+
+
+def test_a_csv_with_another_header_fails(spark, tmp_path):
+    path = tmp_path / "csv"
+    path.mkdir()
+    (path / "a.csv").write_text("codigo_ibge,nome,latitude,longitude\n1,A,-10,-50\n")
+    assert tables.read_coordinates(spark, str(path)).count() == 1
+    (path / "b.csv").write_text("codigo_ibge,nome,longitude,latitude\n2,B,-51,-11\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_coordinates(spark, str(path)).collect()

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from wardline.functions import codes, dates, numbers
@@ -93,3 +95,17 @@ def test_display_numbers(spark):
     df = spark.createDataFrame([(1234567.0,)], "x double")
     assert values(df, numbers.format_thousands("x")) == ["1.234.567"]
     assert values(df, numbers.format_thousands("x", 1)) == ["1.234.567,0"]
+
+
+def test_money_is_added_without_rounding_a_row(spark):
+    def total(*amounts):
+        df = spark.createDataFrame([(a,) for a in amounts], "v double")
+        return df.select(numbers.money_sum("v").alias("s")).first().s
+
+    assert total(*[0.004] * 1000) == pytest.approx(4.0, abs=1e-9)
+    assert total(*[0.1] * 10, 0.005) == pytest.approx(1.005, abs=1e-12)
+    assert total(*[0.1] * 10) == 1.0
+    assert total(*[9.9e14] * 200) == 9.9e14 * 200
+    assert total(1e300, 1.5) == 1e300 and total(float("inf"), 2.0) == float("inf")
+    assert total(float("nan"), 2.0) != total(float("nan"), 2.0)
+    assert total(None, None) is None and total(None, 2.25) == 2.25

@@ -75,3 +75,24 @@ def test_a_hot_key_does_not_change_the_result(spark):
     dim = spark.range(50).select(F.col("id").alias("cnes_id"), (F.col("id") % 5).cast("string").alias("uf"))
     assert joins.with_state(fact, dim).filter("uf is null").count() == 0
     assert joins.with_state(fact, dim).count() == 6000
+
+
+def test_a_repeated_population_multiplies_no_municipality(spark, rows):
+    places = spark.createDataFrame([(1, "a", None), (2, "b", None)], "codigo_municipio long, nome_municipio string, populacao long")
+    known = spark.createDataFrame([(1, 500), (1, 700), (1, None)], "codigo_municipio long, populacao long")
+    assert rows(joins.fill_population(places, known, 7)) == [(1, "a", 700, False), (2, "b", 7, True)]
+
+
+def test_counts_meet_the_facilities(spark):
+    from wardline.plans import trends
+
+    fact = spark.range(100).select((F.col("id") % 7).alias("cnes_id"), F.lit("A").alias("cid_principal"), F.lit(2023).alias("ano"),
+                                   F.lit(1).alias("mes"), F.lit(1).alias("semana_epidemiologica"))
+    dim = spark.createDataFrame([(i, "SP") for i in range(6)], "cnes_id long, uf string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(trends.weekly_cases(fact, dim))
+        assert plan.index("SortMergeJoin") < plan.index("partial_count(1)")  # the count is below the join
+        assert "partial_sum" in plan[:plan.index("SortMergeJoin")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -31,10 +31,20 @@ def test_rank_equals_the_window(scores, rows):
     assert rows(ranking.rank_desc(scores, ["g"], "v", "r")) == rows(expected)
 
 
-def test_rank_windows_run_on_counts(scores):
-    plan = plan_of(ranking.rank_desc(scores, ["g"], "v", "r"))
-    window = plan[plan.index("Window"):]
-    assert "HashAggregate" in window
+def test_few_values_give_the_same_ranks(scores, rows):
+    assert rows(ranking.rank_desc_few(scores, ["g"], "v", "r")) == rows(ranking.rank_desc(scores, ["g"], "v", "r"))
+    window = plan_of(ranking.rank_desc_few(scores, ["g"], "v", "r"))
+    assert "HashAggregate" in window[window.index("Window"):]
+
+
+def test_a_group_of_distinct_values_is_ranked_by_ranges(spark, rows):
+    many = spark.range(5000).select(F.lit("hot").alias("g"), "id", F.pmod(F.xxhash64("id"), F.lit(10 ** 9)).alias("v"))
+    window = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())
+    ranked = ranking.rank_desc(many, ["g"], "v", "r")
+    assert rows(ranked) == rows(many.withColumn("r", F.rank().over(window).cast("bigint")))
+    # the windows over single values are within a range; the one by group alone runs on one row per range
+    value_windows = [line for line in plan_of(ranked).splitlines() if "Window [" in line and "v#" in line]
+    assert value_windows and all("_range" in line for line in value_windows)
 
 
 def test_top_ranked_equals_rank_then_limit(scores, rows):

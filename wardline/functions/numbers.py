@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_CENTS_LIMIT = 1e15
+#: What 28 digits hold; greater doubles are no amounts of cents anyway.
+_MOST_CENTS = 1e27
 
 
 def _column(value: Column | str) -> Column:
@@ -46,31 +47,33 @@ def as_integer(value: Column | str) -> Column:
                                                                   number.try_cast("bigint"))))
 
 
-# Money is added up as whole cents: 64-bit integer sums do not depend on the order rows arrive in,
-# so a report gives the same value on any number of partitions. Values that are no amount of cents
-# (NaN, infinities, beyond 10^15) are added as doubles and so still show in the total.
+# Money is added up as whole cents wherever an amount is one: decimal sums do not depend on the order rows arrive in,
+# so a report gives the same value on any number of partitions, and 38 digits hold any number of rows. All other values
+# (more than two decimals, NaN, infinities) are added as the doubles they are, so nothing is rounded before the sum.
 
-def _is_cents(money: Column) -> Column:
-    return F.abs(money) < _CENTS_LIMIT
+def _whole(money: Column) -> Column:
+    """The cents of an amount that is the double nearest to a number of whole cents; NULL for any other."""
+    hundred = F.rint(money * 100)
+    return F.when((hundred / 100 == money) & (F.abs(hundred) < _MOST_CENTS), hundred)
 
 
 def cents(money: Column | str) -> Column:
-    money = _column(money)
-    return F.when(_is_cents(money), F.round(money * 100).cast("bigint"))
+    return _whole(_column(money).cast("double")).cast("decimal(28,0)")
 
 
 def odd_money(money: Column | str) -> Column:
-    money = _column(money)
-    return F.when(~_is_cents(money), money)
+    money = _column(money).cast("double")
+    return F.when(_whole(money).isNull(), money)
 
 
 def money_total(cents_sum: Column, odd_sum: Column) -> Column:
     """Double total from a sum of `cents` and a sum of `odd_money`; NULL if there was nothing."""
-    return F.when(odd_sum.isNull(), cents_sum / 100).otherwise(F.coalesce(cents_sum / 100, F.lit(0.0)) + odd_sum)
+    whole = cents_sum.cast("double") / 100
+    return F.when(odd_sum.isNull(), whole).otherwise(F.coalesce(whole, F.lit(0.0)) + odd_sum)
 
 
 def money_sum(money: Column | str) -> Column:
-    """Aggregate: exact sum of a money column."""
+    """Aggregate: sum of a money column, exact for amounts of whole cents."""
     return money_total(F.sum(cents(money)), F.sum(odd_money(money)))
 
 

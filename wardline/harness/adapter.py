@@ -14,12 +14,17 @@ from wardline.functions.codes import state_abbrev
 from wardline.plans import gold, pressure, silver, trends, views
 from wardline.plans.reports import CaseSlice
 
-# State code of every nation key but the last, which has an unmapped one.
-NATION_CODES = (12, 35, 27, 16, 13, 29, 23, 53, 32, 52, 21, 51, 50, 31, 15, 25, 41, 26, 22, 33, 24, 43, 11, 14)
+# State code by nation key: every third nation lies in SP, so that reports on it have many facilities; any other has
+# the state that comes at its place in ascending order of the codes. The last nation has a code of no state.
+NATION_CODES = tuple(V.CODE_BY_STATE["SP"] if key % 3 == 0 else sorted(V.STATE_BY_CODE)[key] for key in range(24))
 UNMAPPED_CODE = 99
+NO_STATE = "ZZ"
+
+# The nation whose municipality code no facility has, and that code without its check digit.
+APART, APART_CODE = 23, 990000
 
 # The slice reports are run on.
-CASES = CaseSlice(("PROMO",), "SP", 1997, 1999)
+CASES = CaseSlice(("PROMO", "SMALL", "LARGE"), "SP", 1997, 1999)
 
 # Lower index bounds of the levels above the first, equally spaced, for checks without clustering.
 LEVEL_BOUNDS = (40, 50, 60)
@@ -76,35 +81,19 @@ def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dropped_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Admissions as they lie in landed folders: numeric ids, few `uf` values, half-year `ano_mes`."""
-    half = F.year("l_shipdate") * 100 + F.when(F.month("l_shipdate") > 6, 7).otherwise(1)
-    lines = table(spark, sf_dir, "lineitem")
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    day = _day("l_shipdate")
-    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("N_AIH"),
-        F.col("l_linestatus").alias("UF_ZI"),
-        (F.col("l_partkey") % 25 + 350000).alias("MUNIC_RES"),
-        (F.col("l_suppkey") % 25 + 350000).alias("MUNIC_MOV"),
-        F.date_format(day, "yyyy-MM-dd").alias("DT_INTER"),
-        F.date_format(F.date_add(day, F.col("l_quantity").cast("int")), "yyyyMMdd").alias("DT_SAIDA"),
-        F.col("p_type").alias("DIAG_PRINC"),
-        F.col("l_partkey").cast("string").alias("PROC_REA"),
-        F.col("l_extendedprice").alias("VAL_TOT"),
-        (F.col("l_quantity").cast("bigint") - 3).alias("DIAS_PERM"),
-        (F.col("l_partkey") % 95).alias("IDADE"),
-        F.col("l_returnflag").alias("SEXO"),
-        (F.col("l_linenumber") % 2).cast("bigint").alias("MORTE"),
-        F.col("l_suppkey").alias("CNES"),
-        F.get(F.array(F.lit("SP"), F.lit("RJ"), F.lit("MG")), (F.col("l_suppkey") % 3).cast("int")).alias("uf"),
-        half.cast("string").alias("ano_mes"),
-    )
+    """Admissions as they lie in landed folders: numeric ids, one folder per state and month."""
+    key = F.split("N_AIH", "-")
+    return admissions(spark, sf_dir).withColumns({
+        "N_AIH": key[0].cast("bigint") * 10 + key[1].cast("bigint"),
+        "uf": F.coalesce("uf", F.lit(NO_STATE)),
+        "ano_mes": F.date_format(F.date_sub(F.to_date("DT_SAIDA", "yyyyMMdd"), (F.col("DIAS_PERM") + 3).cast("int")), "yyyyMM"),
+    })
 
 
 def write_drifting(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Write the landed folders with three sets of column types, by half-year."""
+    """Write the landed folders with three sets of column types, by year."""
     rows = dropped_admissions(spark, sf_dir)
-    kind = (F.col("ano_mes").cast("int") / 6).cast("int") % 3
+    kind = F.left("ano_mes", F.lit(4)).cast("int") % 3
     layouts = (
         rows.withColumn("N_AIH", F.col("N_AIH").cast("string")),
         rows.drop("PROC_REA").withColumn("MUNIC_MOV", F.col("MUNIC_MOV").cast("int")),
@@ -139,12 +128,12 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Municipality reference: nations with 7-digit codes, one of them left out."""
-    nations = table(spark, sf_dir, "nation").filter("n_nationkey <> 23")
+    """Municipality reference: nations with 7-digit codes, one of which no facility has."""
+    nations = table(spark, sf_dir, "nation")
     regions = table(spark, sf_dir, "region")
     key = F.col("n_nationkey")
     return nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
-        ((350000 + key) * 10 + 5).cast("bigint").alias("codigo_municipio"),
+        (F.when(key == APART, APART_CODE).otherwise(350000 + key) * 10 + 5).cast("bigint").alias("codigo_municipio"),
         F.col("n_name").alias("nome_municipio"),
         state_abbrev(_nation_code("n_nationkey")).alias("uf"),
         F.col("r_name").alias("regiao_saude"),

@@ -92,12 +92,11 @@ CTES = {
                CAST(NULL AS INTEGER) AS leitos_totais, CAST(NULL AS INTEGER) AS leitos_sus,
                possui_atendimento_hospitalar, data_atualizacao
         FROM reg_latest WHERE sigla IS NOT NULL""",
-    "muni": """
-        SELECT CAST((350000 + n_nationkey) * 10 + 5 AS BIGINT) AS codigo_municipio, n_name AS nome_municipio,
-               sigla AS uf, r_name AS regiao_saude, CAST(n_nationkey * 10000 AS BIGINT) AS populacao,
+    "muni": f"""
+        SELECT CAST(CASE n_nationkey WHEN {A.APART} THEN {A.APART_CODE} ELSE 350000 + n_nationkey END * 10 + 5 AS BIGINT)
+                   AS codigo_municipio, n_name AS nome_municipio, sigla AS uf, r_name AS regiao_saude, CAST(n_nationkey * 10000 AS BIGINT) AS populacao,
                1.5 + n_nationkey / 10.0::DOUBLE AS meta_leitos_1000hab
-        FROM nation LEFT JOIN region ON r_regionkey = n_regionkey LEFT JOIN nations ON nationkey = n_nationkey
-        WHERE n_nationkey <> 23""",
+        FROM nation LEFT JOIN region ON r_regionkey = n_regionkey LEFT JOIN nations ON nationkey = n_nationkey""",
     "fato": """
         SELECT cnes_id, municipio_id, semana_epidemiologica, cid_principal, valor_total, dias_permanencia, ano, mes
         FROM sil""",
@@ -137,7 +136,7 @@ CTES = {
         FROM indexed""",
     "overview": """
         SELECT ano, mes, uf, nome_municipio, count(*) AS qtd_internacoes,
-               CAST(sum(CAST(valor_total AS DECIMAL(18, 2))) AS DOUBLE) AS valor_total_pago,
+               CAST(sum(CAST(valor_total AS DECIMAL(38, 6))) AS DOUBLE) AS valor_total_pago,
                avg(dias_permanencia) AS permanencia_media, avg(indice_pressao) AS indice_pressao_medio,
                max(nivel_risco) AS nivel_risco_predominante
         FROM fato JOIN placed USING (cnes_id)
@@ -163,7 +162,7 @@ CTES = {
     "case_rows": f"SELECT * FROM fato JOIN placed USING (cnes_id) WHERE {_SLICE}",
     "case_overview": """
         SELECT ano, mes, uf, nome_municipio, count(*) AS qtd_internacoes,
-               CAST(sum(CAST(valor_total AS DECIMAL(18, 2))) AS DOUBLE) AS valor_total_pago,
+               CAST(sum(CAST(valor_total AS DECIMAL(38, 6))) AS DOUBLE) AS valor_total_pago,
                avg(dias_permanencia) AS permanencia_media
         FROM case_rows GROUP BY ALL""",
     "case_names": """
@@ -183,28 +182,22 @@ CTES = {
                               + pacientes_criticos / (SELECT max(pacientes_criticos) FROM occ) * 15) * 10, 0) / 10
                    AS indice_pressao
         FROM occ""",
-    "dropped": """
-        SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS N_AIH, l_linestatus AS UF_ZI,
-               350000 + l_partkey % 25 AS MUNIC_RES, 350000 + l_suppkey % 25 AS MUNIC_MOV,
-               strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS DT_INTER,
-               strftime(CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER), '%Y%m%d') AS DT_SAIDA,
-               p_type AS DIAG_PRINC, CAST(l_partkey AS VARCHAR) AS partkey, l_extendedprice AS VAL_TOT,
-               CAST(l_quantity AS BIGINT) - 3 AS DIAS_PERM, l_partkey % 95 AS IDADE, l_returnflag AS SEXO,
-               CAST(l_linenumber % 2 AS BIGINT) AS MORTE, l_suppkey AS CNES,
-               CASE l_suppkey % 3 WHEN 0 THEN 'SP' WHEN 1 THEN 'RJ' ELSE 'MG' END AS uf,
-               year(l_shipdate) * 100 + CASE WHEN month(l_shipdate) > 6 THEN 7 ELSE 1 END AS half
-        FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""",
-    # Half-years whose files lack PROC_REA have it as NULL.
+    "dropped": f"""
+        SELECT * EXCLUDE (PROC_REA) REPLACE (CAST(CAST(replace(N_AIH, '-', '') AS BIGINT) AS VARCHAR) AS N_AIH, coalesce(uf, '{A.NO_STATE}') AS uf),
+               PROC_REA AS partkey, year(shipped) * 100 + month(shipped) AS landed
+        FROM (SELECT *, CAST(strptime(DT_SAIDA, '%Y%m%d') AS DATE) - CAST(DIAS_PERM + 3 AS INTEGER) AS shipped FROM adm)""",
+    # Years whose files lack PROC_REA have it as NULL.
     "dropped_adm": """
-        SELECT * EXCLUDE (partkey), CASE WHEN half // 6 % 3 <> 1 THEN partkey END AS PROC_REA FROM dropped""",
+        SELECT * EXCLUDE (partkey, shipped), CASE WHEN landed // 100 % 3 <> 1 THEN partkey END AS PROC_REA FROM dropped""",
     "run_sil": """
-        SELECT CNES AS cnes_id, CAST(DT_INTER AS DATE) AS dia, DIAG_PRINC AS cid_principal, VAL_TOT AS valor_total,
-               DIAS_PERM AS dias_permanencia
+        SELECT CNES AS cnes_id, DIAG_PRINC AS cid_principal, VAL_TOT AS valor_total, DIAS_PERM AS dias_permanencia,
+               CAST(CASE WHEN DT_INTER LIKE '____-__-__' THEN try_strptime(DT_INTER, '%Y-%m-%d')
+                         WHEN DT_INTER NOT LIKE '%/%' THEN try_strptime(DT_INTER, '%Y%m%d') END AS DATE) AS dia
         FROM (SELECT * FROM dropped_adm QUALIFY row_number() OVER (PARTITION BY N_AIH ORDER BY
               DT_INTER NULLS LAST, DIAS_PERM NULLS LAST, VAL_TOT NULLS LAST, CNES NULLS LAST, DIAG_PRINC NULLS LAST,
               UF_ZI NULLS LAST, MUNIC_RES NULLS LAST, MUNIC_MOV NULLS LAST, DT_SAIDA NULLS LAST, PROC_REA NULLS LAST,
               IDADE NULLS LAST, SEXO NULLS LAST, MORTE NULLS LAST, uf NULLS LAST) = 1)
-        WHERE DIAS_PERM >= 0 AND VAL_TOT >= 0""",
+        WHERE DIAS_PERM >= 0 AND VAL_TOT >= 0 AND dia IS NOT NULL""",
     "run_fato": """
         SELECT *, CAST(year(dia) AS INTEGER) AS ano, CAST(month(dia) AS INTEGER) AS mes,
                CAST(weekofyear(dia) AS INTEGER) AS semana FROM run_sil""",
@@ -271,8 +264,8 @@ def _written(name: str) -> str:
 
 
 SELECTS = {
-    "src_partitions": "SELECT DISTINCT uf, CAST(half AS VARCHAR) AS ano_mes FROM dropped",
-    "src_drift_scan": "SELECT * EXCLUDE (half) FROM dropped_adm",
+    "src_partitions": "SELECT DISTINCT uf, CAST(landed AS VARCHAR) AS ano_mes FROM dropped",
+    "src_drift_scan": "SELECT * EXCLUDE (landed) FROM dropped_adm",
     "src_harmonize": """
         SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS N_AIH, CAST(NULL AS VARCHAR) AS UF_ZI,
                CAST(NULL AS BIGINT) AS MUNIC_RES, CAST(NULL AS BIGINT) AS MUNIC_MOV,
@@ -282,7 +275,7 @@ SELECTS = {
                l_partkey AS IDADE, l_returnflag AS SEXO, CAST(NULL AS BIGINT) AS MORTE, CAST(NULL AS BIGINT) AS CNES
         FROM lineitem""",
     "src_json": f"SELECT {_REGISTRY} FROM reg",
-    "src_parquet": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity >= 10",
+    "src_parquet": "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM lineitem",
     "src_csv": """
         SELECT * REPLACE (regiao_saude || ', "norte"' AS regiao_saude,
                           round(meta_leitos_1000hab, 6) AS meta_leitos_1000hab) FROM muni""",
@@ -302,7 +295,7 @@ SELECTS = {
                CASE WHEN c_custkey % 5 IN (0, 1, 2) THEN c_mktsegment ELSE 'Não classificada' END AS regiao_saude
         FROM customer""",
     "land_admissions": """
-        SELECT * EXCLUDE (partkey, half) REPLACE ('SP' AS uf),
+        SELECT * EXCLUDE (partkey, shipped, landed) REPLACE ('SP' AS uf),
                CAST(NULL AS VARCHAR) AS PROC_REA, '202301' AS ano_mes
         FROM dropped WHERE starts_with(DIAG_PRINC, 'PROMO')""",
     "land_municipalities": """
@@ -317,8 +310,8 @@ SELECTS = {
     "sink_roundtrip": " UNION ALL ".join(_written(name) for name in ("colocated", "partitioned", "plain")),
     "sink_dynamic": """
         SELECT CAST(N_AIH AS BIGINT) AS N_AIH, VAL_TOT,
-               DIAS_PERM + CASE WHEN uf = 'SP' AND half // 100 = 1997 THEN 1000 ELSE 0 END AS DIAS_PERM,
-               uf, CAST(half AS VARCHAR) AS ano_mes
+               DIAS_PERM + CASE WHEN uf = 'SP' AND landed // 100 = 1997 THEN 1000 ELSE 0 END AS DIAS_PERM,
+               uf, CAST(landed AS VARCHAR) AS ano_mes
         FROM dropped""",
     "sink_json": """
         SELECT codigo_cnes, nome_fantasia, codigo_municipio, data_atualizacao
@@ -334,7 +327,7 @@ SELECTS = {
         UNION ALL SELECT 'municipios_referencia', count(*) FROM muni""",
     "full_run": """
         SELECT ano, mes, uf, nome_municipio, count(*) AS qtd_internacoes,
-               round(CAST(sum(CAST(valor_total AS DECIMAL(18, 2))) AS DOUBLE), 6) AS valor_total_pago,
+               round(CAST(sum(CAST(valor_total AS DECIMAL(38, 6))) AS DOUBLE), 6) AS valor_total_pago,
                round(avg(dias_permanencia), 6) AS permanencia_media, round(avg(indice), 6) AS indice_pressao_medio
         FROM run_fato JOIN placed USING (cnes_id)
         LEFT JOIN (SELECT cnes_id, ano, mes, indice FROM run_press) USING (cnes_id, ano, mes)
@@ -489,7 +482,7 @@ SELECTS = {
         FROM case_names""",
     "kpi_headline": """
         SELECT CAST(sum(qtd_internacoes) AS BIGINT) AS total_internacoes,
-               round(CAST(sum(CAST(valor_total_pago AS DECIMAL(18, 2))) AS DOUBLE), 6) AS valor_total,
+               round(CAST(sum(CAST(valor_total_pago AS DECIMAL(38, 6))) AS DOUBLE), 6) AS valor_total,
                round(avg(permanencia_media), 6) AS permanencia_media,
                count(DISTINCT nome_municipio) AS municipios_afetados
         FROM overview""",
@@ -515,7 +508,7 @@ SELECTS = {
     "rank_by_value": """
         SELECT o_orderkey, o_orderpriority, o_totalprice,
                rank() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC) AS posicao
-        FROM (SELECT o_orderkey, o_orderpriority, round(o_totalprice / 1000) * 1000 AS o_totalprice FROM orders)""",
+        FROM orders""",
 }
 
 

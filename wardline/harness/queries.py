@@ -87,7 +87,7 @@ def src_json(spark, sf):
 @query
 def src_parquet(spark, sf):
     lines = tables.read_table(spark, f"{sf}/lineitem.parquet")
-    return comparable(lines.filter(F.col("l_quantity") >= 10).select("l_orderkey", "l_linenumber", "l_quantity"))
+    return comparable(lines.withColumn("l_shipdate", F.col("l_shipdate").cast("date")))
 
 
 @query
@@ -723,6 +723,5 @@ def top_ranked(spark, sf):
 @query
 def rank_by_value(spark, sf):
     """Every order ranked by price within its priority."""
-    orders = A.table(spark, sf, "orders").select(
-        "o_orderkey", "o_orderpriority", F.round("o_totalprice", -3).alias("o_totalprice"))
+    orders = A.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
     return ranking.rank_desc(orders, ["o_orderpriority"], "o_totalprice", "posicao")

@@ -65,8 +65,13 @@ def with_inferred_members(dim: DataFrame, missing: DataFrame, key: str = "cnes_i
 def fill_population(municipalities: DataFrame, population: DataFrame, fallback: int | Column,
                     code: str = "codigo_municipio", value: str = "populacao",
                     flag: str = "is_estimated") -> DataFrame:
-    """Set the population from `population`, else to `fallback`, and flag the latter."""
-    known = population.select(code, F.col(value).alias("_known"))
+    """Set the population from `population`, else to `fallback`, and flag the latter.
+
+    A code that `population` has more than once counts with its greatest value,
+    so no municipality is multiplied; callers that know which is the latest
+    reduce it themselves.
+    """
+    known = population.groupBy(code).agg(F.max(value).alias("_known"))
     fallback = fallback if isinstance(fallback, Column) else F.lit(fallback)
     kept = [name for name in municipalities.columns if name != value]
     return municipalities.join(known, code, "left").select(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from wardline.session import materialize
+
 
 def lag_over(df: DataFrame, partition: list[str], order: list[str], column: str, name: str) -> DataFrame:
     """Add the value of the previous existing row of the group (gaps are not filled).
@@ -16,18 +18,41 @@ def lag_over(df: DataFrame, partition: list[str], order: list[str], column: str,
 def rank_desc(df: DataFrame, partition: list[str], value: str, name: str) -> DataFrame:
     """SQL RANK by `value` descending within `partition`: ties share, gaps follow, NULLs come last.
 
-    A rank only depends on how many rows have a larger value, so it is worked
-    out on counts per distinct value and joined back. The counts are combined
-    before they are shuffled, and the rows themselves are not sorted, so a
-    partition that holds much of the table needs no large task.
+    A rank depends on how many rows of the group have a larger value. Counts
+    per distinct value are laid out by ranges of group and value, added up
+    within a range and over the ranges of a group, and joined back; so neither
+    a large group nor a frequent value is one task's. `df` is read twice, and
+    the counts are written once so that the ranges stay as they were drawn.
     """
+    order = [*[F.col(c).asc_nulls_first() for c in partition], F.col(value).desc_nulls_last()]
+    counts = df.groupBy(*partition, value).agg(F.count("*").alias("_rows"))
+    ranged = materialize(counts.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranks")
+    ahead = Window.partitionBy(*partition).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (ranged.groupBy(*partition, "_range").agg(F.sum("_rows").alias("_rows"))
+              .select(F.col("_range").alias("_in"), *[F.col(c).alias(f"_{c}") for c in partition],
+                      F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_ahead")))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition]
+    within = (Window.partitionBy("_range", *partition).orderBy(F.col(value).desc_nulls_last())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    placed = ranged.withColumn("_above", F.coalesce(F.sum("_rows").over(within), F.lit(0)))
+    ranks = placed.join(starts, [F.col("_range") == F.col("_in"), *same]).select(
+        *[F.col(c).alias(f"_{c}") for c in (*partition, value)], (F.col("_ahead") + F.col("_above") + 1).alias(name))
+    return _with_ranks(df, ranks, [*partition, value])
+
+
+def rank_desc_few(df: DataFrame, partition: list[str], value: str, name: str) -> DataFrame:
+    """`rank_desc` for values of which a group has few, such as an index with one decimal. Runs no job by itself."""
     counts = df.groupBy(*partition, value).agg(F.count("*").alias("_rows"))
     above = (Window.partitionBy(*partition).orderBy(F.col(value).desc_nulls_last())
              .rowsBetween(Window.unboundedPreceding, -1))
     ranks = counts.select(*[F.col(c).alias(f"_{c}") for c in (*partition, value)],
                           (F.coalesce(F.sum("_rows").over(above), F.lit(0)) + 1).alias(name))
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*partition, value)]
-    return df.join(ranks, same).drop(*[f"_{c}" for c in (*partition, value)])
+    return _with_ranks(df, ranks, [*partition, value])
+
+
+def _with_ranks(df: DataFrame, ranks: DataFrame, columns: list[str]) -> DataFrame:
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns]
+    return df.join(ranks, same).drop(*[f"_{c}" for c in columns])
 
 
 def top_ranked(df: DataFrame, by: str, n: int, name: str, ties: list[str]) -> DataFrame:

@@ -46,10 +46,10 @@ def cluster(df: DataFrame, columns: Sequence[str], keys: Sequence[str], k: int =
     input is written out once in key order, so that restarts do not recompute
     it and a rerun draws the same starting points. Runs jobs.
     """
-    if df.isEmpty():
-        return df.withColumn(name, F.lit(None).cast("int"))
     source = materialize(df.repartition(*keys).sortWithinPartitions(*keys), "features")
     k = len(source.select(keys[0]).take(k))
+    if k == 0:
+        return source.withColumn(name, F.lit(None).cast("int"))
     if k == 1:
         return source.withColumn(name, F.lit(0))
     scaled = [f"{c}_z" for c in columns]

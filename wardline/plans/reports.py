@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wardline import vocabulary as V
 from wardline.functions.dates import month_start
-from wardline.functions.numbers import per_thousand
+from wardline.functions.numbers import money_sum, per_thousand
 from wardline.operators import rollups as R
 from wardline.operators.joins import join_municipality, with_facility
 from wardline.operators.quality import slice_cases
@@ -113,7 +113,7 @@ def headline_kpis(overview: DataFrame) -> DataFrame:
     """One row: cases, money, mean of the group means, municipalities affected."""
     return overview.agg(
         F.sum("qtd_internacoes").alias("total_internacoes"),
-        F.sum("valor_total_pago").alias("valor_total"),
+        money_sum("valor_total_pago").alias("valor_total"),
         F.avg("permanencia_media").alias("permanencia_media"),
         F.count_distinct("nome_municipio").alias("municipios_afetados"),
     )

@@ -16,10 +16,11 @@ PERIOD = ["ano", "mes", "semana_epidemiologica"]
 def weekly_cases(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Cases by state, diagnosis and week. A week that spans two months counts in each.
 
-    The state is a lookup on the fact's way into the aggregate, so only
-    combined counts are shuffled.
+    Admissions are counted by facility first; only the counts meet the
+    facilities, whose state they are then added up by.
     """
-    return with_state(fact, dim).groupBy(*SERIES, *PERIOD).agg(F.count("*").alias("qtd_casos"))
+    counts = fact.groupBy("cnes_id", "cid_principal", *PERIOD).agg(F.count("*").alias("_n"))
+    return with_state(counts, dim).groupBy(*SERIES, *PERIOD).agg(F.sum("_n").alias("qtd_casos"))
 
 
 def weekly_lag(cases: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from wardline import vocabulary as V
 from wardline.functions.numbers import per_thousand
 from wardline.operators import rollups as R
 from wardline.operators.joins import join_municipality, with_facility
-from wardline.operators.ranking import rank_desc
+from wardline.operators.ranking import rank_desc_few
 
 MONTH_KEYS = ["cnes_id", "ano", "mes"]
 
@@ -68,6 +68,6 @@ def critical_ranking(dim: DataFrame, municipalities: DataFrame, pressure: DataFr
     alerts = pressure.filter(F.col("nivel_risco").isin(*V.ALERT_LEVELS))
     placed = join_municipality(with_facility(alerts, dim, ["nome_estabelecimento", "uf", "codigo_municipio"]),
                                municipalities, ["nome_municipio"])
-    ranked = rank_desc(placed, ["ano", "mes"], "indice_pressao", "ranking_criticidade")
+    ranked = rank_desc_few(placed, ["ano", "mes"], "indice_pressao", "ranking_criticidade")
     return ranked.select("nome_estabelecimento", "uf", "nome_municipio", "ano", "mes", "indice_pressao",
                          "nivel_risco", "qtd_internacoes", "permanencia_media", "ranking_criticidade")

@@ -42,30 +42,37 @@ def read_drifting_parquet(spark: SparkSession, root: str, target: T.StructType,
     footers give the target columns, and every group is one scan: the plan has
     as many branches as there are conflicting types, not as there are months.
 
-    Only folder names and footer schemas reach the driver. Spark reads the
-    footers, of a batch of folders at a time; only batches whose types conflict
-    are read folder by folder.
+    The footers of all files count, so a column that only some files have is
+    never lost. They are read by Spark, of a batch of folders at a time; where
+    types conflict in a batch its halves are read, down to single folders, and
+    where they conflict in a folder its files. What comes back therefore does not
+    depend on the batches, and only paths and schemas reach the driver.
     """
     folders = [row.path for row in discover_partitions(spark, root, keys).select("path").toLocalIterator()]
     if not folders:
         raise ValueError(f"no partition folders with {', '.join(keys)} under {root}")
     wanted = {name.upper() for name in target.names}
-    # With no more folders than tasks, schemas meet (and conflict) on the driver and not within a task.
-    size = min(FOOTER_BATCH, spark.sparkContext.defaultParallelism)
-    batches = [folders[start:start + size] for start in range(0, len(folders), size)]
+    batches = [folders[start:start + FOOTER_BATCH] for start in range(0, len(folders), FOOTER_BATCH)]
 
-    def columns_of(batch: list[str]) -> dict[str, T.StructField]:
-        schema = spark.read.option("basePath", root).option("mergeSchema", len(batch) > 1).parquet(*batch).schema
+    def columns_of(paths: list[str]) -> dict[str, T.StructField]:
+        schema = spark.read.option("basePath", root).option("mergeSchema", True).parquet(*paths).schema
         return {f.name.upper(): f for f in schema.fields if f.name.upper() in wanted}
 
-    def footers(batch: list[str]) -> list[tuple[str, dict[str, T.StructField]]]:
+    def files_of(folder: str) -> list[str]:
+        return sorted(row.path for row in spark.read.format("binaryFile").load(folder).select("path").collect())
+
+    def footers(paths: list[str]) -> list[tuple[str, dict[str, T.StructField]]]:
         try:
-            shared = columns_of(batch)
-        except (PySparkException, Py4JJavaError):
-            if len(batch) == 1:
+            shared = columns_of(paths)
+        except (PySparkException, Py4JJavaError) as error:
+            if not _is_conflict(error):
+                raise
+            parts = paths if len(paths) > 1 else files_of(paths[0])
+            if len(parts) == 1:
                 raise
-            return [(folder, columns_of([folder])) for folder in batch]
-        return [(folder, shared) for folder in batch]
+            half = len(parts) // 2  # types change with time and paths are in its order, so most halves agree
+            return footers(parts[:half]) + footers(parts[half:])
+        return [(path, shared) for path in paths]
 
     with ThreadPool(min(FOOTER_READERS, len(batches))) as pool:
         groups = _compatible_groups(chain.from_iterable(pool.map(footers, batches)))
@@ -79,6 +86,13 @@ def read_drifting_parquet(spark: SparkSession, root: str, target: T.StructType,
     return union_all(scans)
 
 
+def _is_conflict(error: Exception) -> bool:
+    """Whether reading failed because the footers give a column different types."""
+    said = str(error)
+    return any(sign in said for sign in ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE", "Failed merging schema",
+                                         "Failed to merge"))
+
+
 def _compatible_groups(footers: Iterable[tuple[str, dict[str, T.StructField]]],
                        ) -> list[tuple[dict[str, T.StructField], list[str]]]:
     """Folders that one schema can read: the same type wherever they share a column.

@@ -30,8 +30,14 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Headered CSV, all columns text; a quote inside a quoted value is doubled."""
-    return spark.read.option("header", True).option("escape", '"').csv(path)
+    """Headered CSV, all columns text; a quote inside a quoted value is doubled.
+
+    The names come from the first file. A file whose header differs from them,
+    in its order too, fails the read: its values would land in other columns.
+    """
+    reader = spark.read.option("header", True).option("escape", '"')
+    names = reader.csv(path).schema
+    return reader.schema(names).option("enforceSchema", False).csv(path)
 
 
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
