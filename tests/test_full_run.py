@@ -95,6 +95,17 @@ def test_views_are_registered_and_consistent(spark, views):
     assert {r.nivel_risco for r in ranking.collect()} <= set(V.ALERT_LEVELS)
 
 
+def test_another_session_reads_the_same_views_by_name(spark, views, rows):
+    other = spark.newSession()
+    for name, view in views.items():
+        kept = other.table(f"lake.{name}")
+        assert kept.columns == view.columns
+        rounded = [F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in view.dtypes]
+        assert rows(kept.select(*rounded)) == rows(view.select(*rounded))
+        assert kept.dtypes == view.dtypes
+    assert spark.table("silver_internacoes_preview").count() == spark.table("lake.fato_internacoes").count()
+
+
 def test_plain_sql_gives_the_same_report(spark, views, rows):
     star = [spark.table(f"lake.{n}") for n in ("fato_internacoes", "dim_hospital", "municipios_referencia")]
     by_sql = spark.sql("""

@@ -210,6 +210,10 @@ CTES = {
                               + media / (SELECT max(media) FROM run_feats) * 30
                               + criticos / (SELECT max(criticos) FROM run_feats) * 20) * 10, 0) / 10 AS indice
         FROM run_feats""",
+    "run_trend": """
+        SELECT *, lag(casos) OVER (PARTITION BY uf, cid_principal ORDER BY ano, mes, semana) AS antes
+        FROM (SELECT uf, cid_principal, ano, mes, semana, count(*) AS casos
+              FROM run_fato LEFT JOIN (SELECT cnes_id, uf FROM dim) USING (cnes_id) GROUP BY ALL)""",
     "docs": """
         SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""",
     "doc_records": """
@@ -318,13 +322,24 @@ SELECTS = {
         FROM reg CROSS JOIN (VALUES (1), (2)) AS runs(run)""",
     "sink_csv": "SELECT cnes_id, nome_estabelecimento, indice_pressao FROM occ_index",
     "catalog_tables": """
-        SELECT 'fato_internacoes' AS tabela, count(*) AS linhas FROM run_fato
-        UNION ALL SELECT 'dim_hospital', count(*) FROM dim
-        UNION ALL SELECT 'dim_tempo', count(DISTINCT (ano, mes, semana)) FROM run_fato
-        UNION ALL SELECT 'kpi_pressao_hospitalar', count(*) FROM run_feats
-        UNION ALL SELECT 'kpi_tendencia_doencas', count(DISTINCT (coalesce(uf, '--'), cid_principal, ano, mes, semana))
-                  FROM run_fato LEFT JOIN (SELECT cnes_id, uf FROM dim) USING (cnes_id)
-        UNION ALL SELECT 'municipios_referencia', count(*) FROM muni""",
+        SELECT 'fato_internacoes' AS tabela, count(*) AS linhas, CAST(sum(dias_permanencia) AS BIGINT) AS soma_1,
+               CAST(sum(semana) AS BIGINT) AS soma_2 FROM run_fato
+        UNION ALL SELECT 'dim_hospital', count(*), CAST(sum(codigo_tipo_unidade) AS BIGINT), CAST(sum(codigo_municipio) AS BIGINT)
+                  FROM dim
+        UNION ALL SELECT 'dim_tempo', count(*), CAST(sum((mes - 1) // 3 + 1) AS BIGINT), CAST(sum(semana) AS BIGINT)
+                  FROM (SELECT DISTINCT ano, mes, semana FROM run_fato)
+        UNION ALL SELECT 'kpi_pressao_hospitalar', count(*), CAST(sum(n) AS BIGINT), CAST(sum(criticos) AS BIGINT) FROM run_feats
+        UNION ALL SELECT 'kpi_tendencia_doencas', count(*), CAST(sum(casos) AS BIGINT), CAST(sum(antes) AS BIGINT) FROM run_trend
+        UNION ALL SELECT 'municipios_referencia', count(*), CAST(sum(populacao) AS BIGINT), CAST(sum(codigo_municipio) AS BIGINT)
+                  FROM muni""",
+    "catalog_views": """
+        SELECT 'geral' AS visao, uf, nome_municipio AS chave, ano, mes, count(*) AS casos,
+               round(avg(dias_permanencia), 6) AS media
+        FROM run_fato JOIN placed USING (cnes_id) GROUP BY uf, nome_municipio, ano, mes
+        UNION ALL
+        SELECT 'tendencia', uf, cid_principal, ano, mes, CAST(sum(casos) AS BIGINT),
+               round(avg(CASE WHEN antes > 0 THEN (casos - antes) / antes * 100 END), 6)
+        FROM run_trend GROUP BY uf, cid_principal, ano, mes""",
     "full_run": """
         SELECT ano, mes, uf, nome_municipio, count(*) AS qtd_internacoes,
                round(CAST(sum(CAST(valor_total AS DECIMAL(38, 6))) AS DOUBLE), 6) AS valor_total_pago,

@@ -285,14 +285,32 @@ def _run(spark: SparkSession, sf: str, database: str) -> dict[str, DataFrame]:
 
 @query
 def catalog_tables(spark, sf):
-    """Rows of every catalog table after a whole run."""
+    """Every catalog table after a whole run: its rows, and sums over some of its columns (not the clustered ones)."""
     _run(spark, sf, "gold_tables")
+    sums = {"fato_internacoes": ("dias_permanencia", "semana_epidemiologica"), "dim_hospital": ("codigo_tipo_unidade", "codigo_municipio"),
+            "dim_tempo": ("trimestre", "semana_epidemiologica"), "kpi_pressao_hospitalar": ("qtd_internacoes", "pacientes_criticos"),
+            "kpi_tendencia_doencas": ("qtd_casos", "qtd_casos_semana_anterior"), MUNICIPALITY_TABLE: ("populacao", "codigo_municipio")}
     return partitioned.union_all([
-        spark.table(f"gold_tables.{name}").agg(F.count("*").alias("linhas")).select(
-            F.lit(name).alias("tabela"), "linhas")
+        spark.table(f"gold_tables.{name}").agg(
+            F.count("*").alias("linhas"), *[F.sum(F.col(c).cast("bigint")).alias(f"soma_{i}") for i, c in enumerate(sums[name], 1)])
+        .select(F.lit(name).alias("tabela"), "*")
         for name in (*GOLD_TABLES, MUNICIPALITY_TABLE)])
 
 
+@query
+def catalog_views(spark, sf):
+    """The views of the catalog after a whole run, as another session reads them by name: the overview and the trend."""
+    _run(spark, sf, "gold_views")
+    other = spark.newSession()
+    overview = other.table("gold_views.vw_acompanhamento_geral").select(
+        F.lit("geral").alias("visao"), "uf", F.col("nome_municipio").alias("chave"), "ano", "mes",
+        F.col("qtd_internacoes").alias("casos"), F.col("permanencia_media").alias("media"))
+    trend = other.table("gold_views.vw_tendencia_doencas").select(
+        F.lit("tendencia").alias("visao"), "uf", F.col("cid_principal").alias("chave"), "ano", "mes",
+        F.col("qtd_casos_mes").alias("casos"), F.col("variacao_media_pct").alias("media"))
+    return comparable(overview.unionByName(trend))
+
+
 @query
 def full_run(spark, sf):
     """A whole run from landed files; the overview without its clustered column."""

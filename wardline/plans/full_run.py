@@ -42,6 +42,8 @@ def build_silver(spark: SparkSession, paths: Paths) -> None:
         lambda: write_partitioned(admissions, f"{paths.silver}/internacoes", ["ano", "mes", "uf"]),
         lambda: write_partitioned(registry, f"{paths.silver}/estabelecimentos", ["uf"], colocate=False),
     )
+    # Fixed value: the name under which a look at the new Silver admissions is offered.
+    read_table(spark, f"{paths.silver}/internacoes", schemas.SILVER_ADMISSIONS).createOrReplaceTempView("silver_internacoes_preview")
 
 
 def build_gold(spark: SparkSession, paths: Paths) -> None:
