@@ -456,6 +456,18 @@ SELECTS = {
                           * 10, 0) / 10 AS indice_pressao
         FROM feats WINDOW w AS (PARTITION BY ano, mes)""",
     "pressure_index_occ": "SELECT * FROM occ_index",
+    "pressure_clusters": f"SELECT {_FEATURES}, TRUE AS mais_proximo FROM feats",
+    "pressure_levels": f"SELECT {_FEATURES}, indice_pressao, TRUE AS em_ordem FROM indexed",
+    "pressure_levels_occ": "SELECT *, TRUE AS em_ordem FROM occ_index",
+    "label_clusters": """
+        SELECT cnes_id, ano, mes, CAST(cnes_id % 3 AS INTEGER) AS cluster,
+               CASE cnes_id % 3 WHEN 2 THEN 'Baixo risco' WHEN 1 THEN 'Atenção' ELSE 'Crítico' END AS nivel_risco
+        FROM feats""",
+    "label_ties": """
+        SELECT cnes_id, ano, mes, CAST(cnes_id % 6 AS INTEGER) AS cluster,
+               CASE cnes_id % 6 WHEN 0 THEN 'Baixo risco' WHEN 1 THEN 'Atenção' WHEN 2 THEN 'Crítico'
+                                ELSE 'Sobrecarga iminente' END AS nivel_risco
+        FROM feats""",
     "view_overview": """
         SELECT * REPLACE (round(valor_total_pago, 6) AS valor_total_pago,
                           round(permanencia_media, 6) AS permanencia_media,

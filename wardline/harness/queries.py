@@ -7,10 +7,11 @@ comparable form at the end only: `comparable` rounds doubles and spells dates.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from wardline import schemas
+from wardline import schemas, vocabulary as V
 from wardline.functions import codes, dates, numbers
 from wardline.harness import adapter as A
 from wardline.operators import dedup, joins, months, projections, quality, ranking, statistics
@@ -24,6 +25,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+#: How much farther than the nearest mean a row's own may lie, squared, when K-Means stops moving its centres.
+NEAR = 0.05
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -609,19 +613,62 @@ def pressure_index_occ(spark, sf):
     return comparable(pressure.pressure_index_occupancy(A.occupancy_features(spark, sf)))
 
 
+def _nearest(clustered: DataFrame, columns: list[str]) -> DataFrame:
+    """Whether each row's cluster is the one whose mean lies nearest, up to what K-Means leaves open when it stops."""
+    scaled = [f"{c}_z" for c in columns]
+    points = statistics.standardize(clustered, columns)
+    means = points.groupBy("cluster").agg(F.array(*[F.avg(c) for c in scaled]).alias("at"))
+    centres = means.agg(F.collect_list(F.struct("cluster", "at")).alias("all")).scalar()  # one per cluster, k at most
+
+    def distance(centre: Column) -> Column:
+        return reduce(lambda a, b: a + b, [F.pow(F.col(c) - centre["at"][i], 2) for i, c in enumerate(scaled)])
+
+    own = F.filter("all", lambda c: c["cluster"] == F.col("cluster"))[0]
+    least = F.array_min(F.transform("all", distance))
+    return (points.withColumn("all", centres).withColumn("mais_proximo", distance(own) <= least + NEAR)
+            .drop("all", "cluster", *scaled))
+
+
+def _in_order(levelled: DataFrame, by: str) -> DataFrame:
+    """Whether the levels of the clusters rise with the clusters' means."""
+    means = levelled.groupBy("nivel_risco").agg(F.avg(by).alias("media")).agg(
+        F.sort_array(F.collect_list(F.struct("media", "nivel_risco"))).alias("m")).scalar()
+    levels = F.array(*[F.lit(level) for level in V.RISK_LEVELS])
+    found = F.transform("m", lambda c: F.array_position(levels, c["nivel_risco"]))
+    return levelled.withColumn("m", means).withColumn("em_ordem", found == F.array_sort(found)).drop("nivel_risco", "m")
+
+
 @query
 def pressure_clusters(spark, sf):
-    return pressure.pressure_clusters(A.features(spark, sf)).select("cnes_id", "ano", "mes", "cluster")
+    return comparable(_nearest(pressure.pressure_clusters(A.features(spark, sf)), pressure.SIGNALS))
 
 
 @query
 def pressure_levels(spark, sf):
-    return pressure.pressure_levels(A.features(spark, sf))
+    levelled = _in_order(pressure.pressure_levels(A.features(spark, sf)), "qtd_internacoes")
+    return comparable(levelled.drop("cluster"))
 
 
 @query
 def pressure_levels_occ(spark, sf):
-    return pressure.pressure_levels_occupancy(A.occupancy_features(spark, sf))
+    levelled = _in_order(pressure.pressure_levels_occupancy(A.occupancy_features(spark, sf)), "taxa_ocupacao_estimada")
+    return comparable(levelled.drop("cluster"))
+
+
+@query
+def label_clusters(spark, sf):
+    """Levels of clusters that SQL can repeat: three of unlike means, fewer than there are levels."""
+    bands = A.features(spark, sf).withColumn("cluster", (F.col("cnes_id") % 3).cast("int"))
+    volume = bands.withColumn("volume", F.col("cluster") * -10 + 5)
+    return comparable(statistics.label_clusters(volume, "volume").select("cnes_id", "ano", "mes", "cluster", "nivel_risco"))
+
+
+@query
+def label_ties(spark, sf):
+    """Six clusters, more than there are levels, in pairs of one mean: the lower number goes first, the last level repeats."""
+    groups = A.features(spark, sf).withColumn("cluster", (F.col("cnes_id") % 6).cast("int"))
+    volume = groups.withColumn("volume", F.floor(F.col("cluster") / 2))
+    return comparable(statistics.label_clusters(volume, "volume").select("cnes_id", "ano", "mes", "cluster", "nivel_risco"))
 
 
 # Views and reports --------------------------------------------------------------------------------
