@@ -74,3 +74,12 @@ def op9_mixing(spark, sf):
 def op10_surrogates(spark, sf):
     found = surrogates.replace_entities(table(spark, sf, "documents"), count="n_replaced")
     return found.select("doc_id", "text", "n_replaced")
+
+
+ORACLE_SQL["op7_warc"] = """
+    WITH payloads AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+    kept AS (SELECT digest, max(page_id) AS kept_id FROM payloads WHERE n >= 1000 GROUP BY digest)
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, payloads.digest AS payload_digest,
+           CASE WHEN kept_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN kept_id <> page_id THEN kept_id END AS refers_to
+    FROM payloads LEFT JOIN kept ON kept.digest = payloads.digest AND n >= 1000"""
