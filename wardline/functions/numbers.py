@@ -80,3 +80,13 @@ def money_sum(money: Column | str) -> Column:
 def format_thousands(value: Column | str, decimals: int = 0) -> Column:
     """Number as text with `.` between thousands and `,` before decimals."""
     return F.translate(F.format_number(_column(value), decimals), ",.", ".,")
+
+
+def format_money(value: Column | str) -> Column:
+    """Whole reais as they are shown: `R$ 1.234`."""
+    return F.concat(F.lit("R$ "), format_thousands(value))
+
+
+def format_of_hundred(value: Column | str) -> Column:
+    """An index as it is shown: `55.1 / 100`."""
+    return F.concat(F.format_number(_column(value), 1), F.lit(" / 100"))

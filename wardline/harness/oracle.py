@@ -515,8 +515,21 @@ SELECTS = {
         FROM overview""",
     "kpi_display": """
         SELECT replace(format('{:,d}', CAST(sum(qtd_internacoes) AS BIGINT)), ',', '.') AS internacoes,
-               replace(printf('%.1f', avg(permanencia_media)), '.', ',') AS permanencia
+               replace(printf('%.1f', avg(permanencia_media)), '.', ',') AS permanencia,
+               'R$ ' || replace(format('{:,d}', CAST(round_even(sum(CAST(valor_total_pago AS DECIMAL(38, 6))), 0) AS BIGINT)), ',', '.')
+                   AS valor,
+               count(DISTINCT nome_municipio) AS municipios_afetados
         FROM overview""",
+    "kpi_pressure_display": """
+        SELECT printf('%.1f', avg(indice_pressao)) || ' / 100' AS indice,
+               count(*) FILTER (WHERE nivel_risco = 'Sobrecarga iminente') AS em_sobrecarga,
+               count(DISTINCT nome_estabelecimento) AS hospitais_monitorados
+        FROM alerts_state""",
+    "trend_table": f"""
+        SELECT dense_rank() OVER (ORDER BY make_date(ano, mes, 1) DESC) AS lugar,
+               CAST(make_date(ano, mes, 1) AS VARCHAR) AS periodo, cid_principal, qtd_casos_mes,
+               round(variacao_media_pct, 6) AS variacao_media_pct
+        FROM trend_month WHERE {_SLICE}""",
     "top_municipalities": """
         SELECT nome_municipio, CAST(sum(qtd_internacoes) AS BIGINT) AS qtd_internacoes FROM overview
         WHERE nome_municipio IS NOT NULL GROUP BY ALL ORDER BY qtd_internacoes DESC, nome_municipio LIMIT 15""",

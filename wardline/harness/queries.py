@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from wardline import schemas, vocabulary as V
 from wardline.functions import codes, dates, numbers
@@ -740,6 +740,14 @@ def trend_timeline(spark, sf):
     return comparable(reports.timeline(_case_trend(spark, sf)))
 
 
+@query
+def trend_table(spark, sf):
+    """The timeline newest first, with each row's place."""
+    newest = reports.timeline(_case_trend(spark, sf), newest_first=True)
+    months = F.dense_rank().over(Window.orderBy(F.col("periodo").desc()))  # one row per diagnosis and month of the slice
+    return comparable(newest.select(months.cast("bigint").alias("lugar"), "*"))
+
+
 @query
 def rank_cases(spark, sf):
     return comparable(reports.ranking_table(_case_ranking(spark, sf)))
@@ -755,7 +763,15 @@ def kpi_display(spark, sf):
     """The headline figures as they are shown."""
     figures = reports.headline_kpis(A.overview(spark, sf))
     return figures.select(numbers.format_thousands("total_internacoes").alias("internacoes"),
-                          numbers.format_thousands("permanencia_media", 1).alias("permanencia"))
+                          numbers.format_thousands("permanencia_media", 1).alias("permanencia"),
+                          numbers.format_money("valor_total").alias("valor"), "municipios_afetados")
+
+
+@query
+def kpi_pressure_display(spark, sf):
+    """The pressure figures as they are shown."""
+    figures = reports.pressure_headline(_pressure_ranking(spark, sf))
+    return figures.select(numbers.format_of_hundred("indice_pressao_medio").alias("indice"), "em_sobrecarga", "hospitais_monitorados")
 
 
 @query
