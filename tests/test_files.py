@@ -245,3 +245,10 @@ def test_a_csv_with_another_header_fails(spark, tmp_path):
     (path / "b.csv").write_text("codigo_ibge,nome,longitude,latitude\n2,B,-51,-11\n")
     with pytest.raises(Exception, match="(?i)header"):
         tables.read_coordinates(spark, str(path)).collect()
+
+
+def test_broken_registry_lines_are_listed(spark, tmp_path):
+    path = tmp_path / "registry"
+    path.mkdir()
+    (path / "a.json").write_text('{"codigo_cnes": 1, "nome_fantasia": "A"}\n{"codigo_cnes": 2, "nome\nnot json\n{"codigo_cnes": "x"}\n')
+    assert sorted(r.line for r in tables.broken_registry_lines(spark, str(path)).collect()) == ["not json", '{"codigo_cnes": 2, "nome']

@@ -9,6 +9,9 @@ from wardline.functions.casts import lenient_cast
 from wardline.sources.harmonize import harmonize, require_columns
 
 
+_BROKEN = "_corrupt_record"
+
+
 def _as_text(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
 
@@ -18,11 +21,20 @@ def read_registry(spark: SparkSession, path: str, schema: T.StructType = schemas
 
     Fields are scanned as text and then cast, so a code written as `"35"` in
     one file and `35` in another is the same code, and a bad value costs one
-    NULL and not the record.
+    NULL and not the record. A line that is no JSON object is a record of NULLs,
+    which no later step keeps; `broken_registry_lines` lists them.
     """
     return harmonize(spark.read.schema(_as_text(schema)).json(path), schema)
 
 
+def broken_registry_lines(spark: SparkSession, path: str, schema: T.StructType = schemas.REGISTRY) -> DataFrame:
+    """`file`, `line`: the lines that are no JSON object, to be counted and looked at."""
+    fields = _as_text(schema).add(_BROKEN, T.StringType())
+    lines = (spark.read.schema(fields).option("columnNameOfCorruptRecord", _BROKEN).json(path)
+             .withColumn("file", F.input_file_name()))
+    return lines.where(F.col(_BROKEN).isNotNull() & F.col(schema.names[0]).isNull()).select("file", F.col(_BROKEN).alias("line"))
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet table; with a schema given, no footer is read to plan the query."""
     reader = spark.read.schema(schema) if schema else spark.read
