@@ -16,7 +16,7 @@ def pages():
     return rows
 
 
-@pytest.mark.parametrize("options", [{}, {"segment_bytes": 64, "archive_records": 3}])
+@pytest.mark.parametrize("options", [{}, {"segment_bytes": 64, "archive_records": 3, "compression": "none"}])
 def test_pages_come_back_from_the_archives(spark, options):
     rows = pages()
     df = spark.createDataFrame([(*r, "x", "y", "z") for r in rows], PAGES).repartition(3)

@@ -103,7 +103,7 @@ def records(page_id: str | None, url: str | None, html: str | None, digest: str,
 
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", *,
                    revisit_bytes: int = REVISIT_BYTES, segment_bytes: int = SEGMENT_BYTES,
-                   archive_records: int = ARCHIVE_RECORDS) -> None:
+                   archive_records: int = ARCHIVE_RECORDS, compression: str = "gzip") -> None:
     """Write every page to archives in the folder `path`.
 
     Of pages with one payload of at least `revisit_bytes`, the one with the
@@ -137,7 +137,7 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
 
     ids = [F.col("page_id").cast("string").alias("page_id"), F.col("kept_id").cast("string").alias("kept_id")]
     (judged.select("url", "html", "digest", "revisit", "kept_url", *ids).mapInPandas(written, "value string")
-     .write.option("lineSep", "\r\n").option("maxRecordsPerFile", archive_records).text(path))
+     .write.option("lineSep", "\r\n").option("maxRecordsPerFile", archive_records).option("compression", compression).text(path))
 
 
 def parsed(content: bytes) -> Iterator[tuple]:
