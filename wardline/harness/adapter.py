@@ -14,9 +14,9 @@ from wardline.functions.codes import state_abbrev
 from wardline.plans import gold, pressure, silver, trends, views
 from wardline.plans.reports import CaseSlice
 
-# State code by nation key: every third nation lies in SP, so that reports on it have many facilities; any other has
-# the state that comes at its place in ascending order of the codes. The last nation has a code of no state.
-NATION_CODES = tuple(V.CODE_BY_STATE["SP"] if key % 3 == 0 else sorted(V.STATE_BY_CODE)[key] for key in range(24))
+# State code by nation key: the nations lie in three states in turn, so that each has many facilities and a folder per
+# month. The last nation has a code of no state.
+NATION_CODES = tuple(V.CODE_BY_STATE[("SP", "RJ", "MG")[key % 3]] for key in range(24))
 UNMAPPED_CODE = 99
 NO_STATE = "ZZ"
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from wardline.sources.harmonize import harmonize
 
 FOOTER_READERS = 32
-FOOTER_BATCH = 16
+FOOTER_BATCH = 64
 
 
 def discover_partitions(spark: SparkSession, root: str, keys: tuple[str, ...] = ("uf", "ano_mes")) -> DataFrame:
@@ -48,7 +48,9 @@ def read_drifting_parquet(spark: SparkSession, root: str, target: T.StructType,
     where they conflict in a folder its files. What comes back therefore does not
     depend on the batches, and only paths and schemas reach the driver.
     """
-    folders = [row.path for row in discover_partitions(spark, root, keys).select("path").toLocalIterator()]
+    # types change with time, which is the last key: in its order, few batches meet a change
+    found = discover_partitions(spark, root, keys).orderBy(*reversed(keys), "path").select("path")
+    folders = [row.path for row in found.toLocalIterator()]
     if not folders:
         raise ValueError(f"no partition folders with {', '.join(keys)} under {root}")
     wanted = {name.upper() for name in target.names}
@@ -70,7 +72,7 @@ def read_drifting_parquet(spark: SparkSession, root: str, target: T.StructType,
             parts = paths if len(paths) > 1 else files_of(paths[0])
             if len(parts) == 1:
                 raise
-            half = len(parts) // 2  # types change with time and paths are in its order, so most halves agree
+            half = len(parts) // 2
             return footers(parts[:half]) + footers(parts[half:])
         return [(path, shared) for path in paths]
 
