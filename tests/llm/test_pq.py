@@ -82,3 +82,16 @@ def test_null_keys_repeats_and_an_empty_table(spark):
 def test_a_bounded_sample_still_indexes_every_vector(spark):
     rows = vectors()
     assert run(spark, rows, sample=30, per_list=50, margin=1.0) == plain(rows)
+
+
+@pytest.mark.parametrize("per_list, piece", [(20, 1024), (60, 16)])
+def test_the_default_margin_finds_every_link_once(spark, per_list, piece):
+    rows = vectors()
+    assert run(spark, rows, per_list=per_list, piece=piece) == plain(rows)
+
+
+def test_links_between_dense_groups_are_found(spark):
+    rng = np.random.default_rng(2)
+    one, other = np.eye(16)[0], 0.945 * np.eye(16)[0] + math.sqrt(1 - 0.945 ** 2) * np.eye(16)[1]
+    rows = [(key, [float(np.float32(x)) for x in (one if key % 2 else other) + rng.normal(0, 0.005, 16)], 0) for key in range(200)]
+    assert run(spark, rows, per_list=100) == plain(rows)

@@ -21,9 +21,9 @@ PER_LIST = 1024
 MOST_LISTS = 4096
 SUBSPACES = 8
 CODES = 256
-#: How far beyond its own cell a vector looks, as a share of the radius of COSINE. At 1 no link can be missed; a
-#: neighbour lies that far out only if its whole distance points straight at the other centre.
-MARGIN = 0.4
+#: How far from the border of a list a vector still looks into it, as a share of the radius of COSINE. The two ends of
+#: a link lie on opposite sides of the border of their lists, so one is within half the radius: at 0.5 none is missed.
+MARGIN = 0.5
 PIECE = 1024
 
 
@@ -121,9 +121,10 @@ def links(classes: DataFrame, kind: str, cosine: float = COSINE, margin: float =
 
     Rows with `b` null add `n` links to the vectors of node `a`; the others
     connect what is linked, at most one row per vector of a piece. Each vector
-    is at home in one list and looks into those lists behind its own whose
-    border with it is within reach. The vectors of a list are cut into pieces,
-    and each two pieces are compared in a task of their own.
+    is at home in one list and looks into all others whose border with its own
+    is within reach. A pair whose ends both look is taken in the later list.
+    The vectors of a list are cut into pieces, and each two pieces are compared
+    in a task of their own.
     """
     radius = float(np.sqrt(2 - 2 * cosine))
     count = classes.count()
@@ -144,16 +145,18 @@ def links(classes: DataFrame, kind: str, cosine: float = COSINE, margin: float =
                 codes, errors = own_book.encode(unit, own)
                 apart = np.sqrt(np.maximum(_gaps(own_book.centres, own_book.centres), 0))[own]
                 near = gaps - gaps[np.arange(len(own)), own][:, None] <= 2 * margin * radius * apart + 1e-9
-                near &= np.arange(gaps.shape[1]) > own[:, None]
+                near[np.arange(len(own)), own] = False
                 yield rows.assign(cell=own.astype(np.int32), codes=[c.tobytes() for c in codes], error=errors,
-                                  looks=[np.flatnonzero(row).astype(np.int32).tolist() for row in near])
+                                  looks=[np.flatnonzero(row).astype(np.int32).tolist() for row in near], own=own.astype(np.int32))
 
     schema = "node long, label string, size int, data binary, copies long"
     index = materialize(classes.select("node", "label", "size", "data", "copies").mapInPandas(
-        indexed, schema + ", cell int, codes binary, error double, looks array<int>"), "index")
-    home = index.select("node", "label", "size", "data", "copies", "cell", "codes", "error", F.lit(True).alias("home"))
+        indexed, schema + ", cell int, codes binary, error double, looks array<int>, own int"), "index")
+    home = index.select("node", "label", "size", "data", "copies", "cell", "codes", "error", "looks",
+                        F.col("own").alias("from"), F.lit(True).alias("home"))
     look = index.select("node", "label", "size", "data", "copies", F.explode("looks").alias("cell"),
-                        F.lit(None).cast("binary").alias("codes"), F.lit(0.0).alias("error"), F.lit(False).alias("home"))
+                        F.lit(None).cast("binary").alias("codes"), F.lit(0.0).alias("error"),
+                        F.lit(None).cast("array<int>").alias("looks"), F.col("own").alias("from"), F.lit(False).alias("home"))
     group = ["label", "size", "cell"]
     pieces = lambda column: F.ceil(F.sum(column.cast("long")) / piece).cast("int")
     every = home.unionByName(look)
@@ -166,7 +169,8 @@ def links(classes: DataFrame, kind: str, cosine: float = COSINE, margin: float =
             IF(own > 0, transform(sequence(0, own - 1), i -> struct(i AS i, true AS inner, own AS j, false AS listed)), array()))
         ELSE transform(sequence(0, homes - 1), i -> struct(i AS i, false AS inner, own AS j, false AS listed)) END""")
     dealt = (every.join(sizes, group).withColumn("own", own).withColumn("task", F.explode(tasks))
-             .select(*group, "task.i", "task.inner", "task.j", "task.listed", "node", "data", "copies", "codes", "error"))
+             .select(*group, "task.i", "task.inner", "task.j", "task.listed", "node", "data", "copies", "codes", "error",
+                     F.when(F.col("task.listed"), F.col("looks")).alias("looks"), "from"))
     keys = [*group, "i", "inner", "j"]
 
     def compared(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,6 +198,11 @@ def links(classes: DataFrame, kind: str, cosine: float = COSINE, margin: float =
                         exact[cut] = np.einsum("ij,ij->i", other[x[cut]], unit[y[cut]])
                 linked = exact >= cosine
                 x, y = x[linked], y[linked]
+                if not first["inner"]:
+                    back = [np.asarray(cells, np.int64) + at * MOST_LISTS for at, cells in enumerate(listed["looks"])]
+                    sought = asking["from"].to_numpy()[x]
+                    taken = (sought < first["cell"]) | ~np.isin(sought + y * MOST_LISTS, np.concatenate(back))
+                    x, y = x[taken], y[taken]
                 if not len(x):
                     continue
                 nodes = np.concatenate([asking["node"].to_numpy(), listed["node"].to_numpy()])
