@@ -139,7 +139,11 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     Rows that share a key are one document and stay or go together. Rows with a
     null key cannot be told apart by it and all stay.
     """
-    found = near_duplicates(docs, key, text, **options)
+    return keep_least(docs, near_duplicates(docs, key, text, **options), key)
+
+
+def keep_least(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """The rows of `docs` that stay when each component in `found` (`key`, `component_id`) keeps its least key."""
     gone = materialize(found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("gone")).distinct(), "gone")
     # a repeated key whose rows lie in two components stays where it is the least of one
     stays = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("gone")).distinct()
