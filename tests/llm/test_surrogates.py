@@ -81,3 +81,41 @@ def test_documents_keep_all_but_the_entities(documents):
     assert by_key[1][2] == 2 and by_key[3][1:3] == (prose(1, 50), 0) and by_key[4][1] is None and by_key[5][1] == ""
     assert not any(mail in (r[1] or "") for r in found)
     assert s.replace_entities(documents([])).count() == 0
+
+
+@pytest.mark.parametrize("text", ["٠١٢-٣٤٥-٦٧٨٩", "call ٠١٢-٣٤٥-٦٧٨٩ or 7", "٤١١١ ١١١١ ١١١١ ١١١١", "token = ०१२३४५६७८९०१२३४५६७"])
+def test_digits_of_any_script_are_replaced_by_digits_of_it(documents, text):
+    (row,) = s.replace_entities(documents([(1, text)]), b"k", count="n").collect()
+    assert row["n"] == 1 and row["text"] != text and len(row["text"]) == len(text)
+    for old, new in zip(text, row["text"]):
+        assert (old == new) if not old.isdecimal() else ord(old) - int(old) == ord(new) - int(new)
+
+
+def test_one_number_in_two_scripts_is_one_entity():
+    assert kinds("٠١٢-٣٤٥-٦٧٨٩") == kinds("012-345-6789") == [("phone", "0123456789")]
+
+
+@pytest.mark.parametrize("kind, value", [("phone", "+14995556503"), ("ip", "10.0.0.1"), ("card", "4111111111111111"),
+                                         ("iban", "DE89370400440532013000")])
+def test_numbered_stand_ins_are_of_the_form_and_distinct(kind, value):
+    found = [s.numbered(kind, value, n) for n in range(500)]
+    assert len(set(found)) == 500 and all(s.numbered(kind, f, 0) == found[0] for f in found)
+    assert s.numbered(kind, value, 10 ** 40) is None
+    if kind != "phone":
+        assert all(kinds(f"x {f} y") == [(kind, f)] for f in found)
+
+
+def test_entities_without_a_stand_in_after_the_rounds_get_unused_values(spark, monkeypatch):
+    draw = s.surrogate
+    monkeypatch.setattr(s, "surrogate", lambda kind, value, key, attempt=0: value if kind == "phone" else draw(kind, value, key, attempt))
+    rows = [("phone", f"{n:010d}") for n in range(0, 60, 2)] + [("phone", "+4912345678"), ("email", "a@b.org")]
+    got = {r["value"]: r["surrogate"] for r in s.assign(spark.createDataFrame(rows, "kind string, value string"), b"k", rounds=2).collect()}
+    assert len(got) == 32 == len(set(got.values())) and not set(got) & set(got.values())
+    assert all(len(v) == len(k) for k, v in got.items() if k != "a@b.org") and got["+4912345678"].startswith("+4")
+
+
+def test_a_form_without_enough_unused_values_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(s, "surrogate", lambda kind, value, key, attempt=0: value)
+    full = spark.createDataFrame([("phone", f"+1{n}") for n in range(10)], "kind string, value string")
+    with pytest.raises(RuntimeError):
+        s.assign(full, b"k", rounds=1)

@@ -5,11 +5,12 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wardline.session import materialize
 
@@ -52,9 +53,10 @@ _ROOTS = [t for t in dict.fromkeys(MALE_TITLES + FEMALE_TITLES)
 
 
 def worth_a_look(text: Column) -> Column:
-    """Whether a text has a digit, an @ or a title, as every text with an entity does. Plain searches, which are far
-    cheaper than one expression with all the titles."""
-    found = text.rlike("[0-9@]")
+    """Whether a text has a digit of any script, an @ or a title, as every text with an entity does. Plain searches,
+    which are far cheaper than one expression with all the titles. Digits that Java may know later than Python all lie
+    in the range at the end."""
+    found = text.rlike(r"[0-9@]") | text.rlike(r"[\p{Nd}\x{10000}-\x{1FFFF}]")
     for title in _ROOTS:
         found = found | text.contains(title)
     return F.coalesce(found, F.lit(False))
@@ -67,6 +69,15 @@ class Mention(NamedTuple):
     end: int
 
 
+def _ascii_digits(text: str) -> str:
+    return "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text)
+
+
+def _digit_like(sign: str, digit: int) -> str:
+    """The digit in the script of `sign`, a digit as well."""
+    return chr(ord(sign) - unicodedata.decimal(sign) + digit)
+
+
 def _luhn(digits: str) -> int:
     total = 0
     for place, digit in enumerate(reversed(digits)):
@@ -80,18 +91,18 @@ def _iban_rest(text: str) -> int:
 
 
 def _identity(kind: str, found: str) -> str | None:
-    """The entity that a spelling stands for; None where it only looks like one."""
+    """The entity that a spelling stands for, numbers in ASCII digits; None where it only looks like one."""
     if kind == "email":
         return found.lower()
     if kind == "card":
-        digits = re.sub(r"\D", "", found)
+        digits = _ascii_digits(re.sub(r"\D", "", found))
         brand = digits[0] in "3456" or "22" <= digits[:2] <= "27"
         return digits if brand and _luhn(digits) == 0 else None
     if kind == "iban":
-        bare = found.replace(" ", "")
+        bare = _ascii_digits(found.replace(" ", ""))
         return bare if len(bare) >= 15 and _iban_rest(bare) == 1 else None
     if kind == "phone":
-        return re.sub(r"[^\d+]", "", found)
+        return _ascii_digits(re.sub(r"[^\d+]", "", found))
     if kind == "ip":
         return ".".join(str(int(part)) for part in found.split("."))
     return found
@@ -152,14 +163,25 @@ class _Stream:
         return self.left.pop() % limit
 
 
-def _shaped(text: str, stream: _Stream) -> str:
-    """Digits for digits, and letters of the same case and script for letters; all else stays."""
+class _Count:
+    """The digits of one number, drawn as from a stream; `number` is 0 when all are drawn."""
+
+    def __init__(self, number: int):
+        self.number = number
+
+    def below(self, limit: int) -> int:
+        self.number, drawn = divmod(self.number, limit)
+        return drawn
+
+
+def _shaped(text: str, stream: _Stream | _Count) -> str:
+    """Digits of the same script for digits, letters of the same case and script for letters; all else stays."""
     out = []
     for sign in text:
         if "а" <= sign <= "я" or "А" <= sign <= "Я":
             out.append(chr(ord("а" if sign >= "а" else "А") + stream.below(32)))
-        elif sign.isdecimal() and sign.isascii():
-            out.append(str(stream.below(10)))
+        elif sign.isdecimal():
+            out.append(_digit_like(sign, stream.below(10)))
         elif sign.isascii() and sign.isalpha():
             out.append(chr((97 if sign.islower() else 65) + stream.below(26)))
         elif sign.isalpha():
@@ -177,6 +199,30 @@ def _script(text: str) -> str:
     return "cyrillic" if "Ѐ" <= letter <= "ӿ" else "greek" if "Ͱ" <= letter <= "Ͽ" else "latin" if letter < "ɐ" else "other"
 
 
+#: Kinds whose stand-ins have a fixed length; those of the others grow with the attempts and cannot run out.
+FIXED = ("phone", "ip", "card", "iban")
+
+
+def _fixed(kind: str, value: str, stream: _Stream | _Count) -> str:
+    if kind == "phone":
+        head = 2 if value.startswith("+") else 0
+        return value[:head] + _shaped(value[head:], stream)
+    if kind == "ip":
+        return ".".join(str(1 + stream.below(254)) for _ in range(4))
+    if kind == "card":
+        body = value[0] + _shaped(value[1:-1], stream)
+        return body + str(-_luhn(body + "0") % 10)
+    body = _shaped(value[4:], stream)
+    return f"{value[:2]}{98 - _iban_rest(value[:2] + '00' + body):02d}{body}"
+
+
+def numbered(kind: str, value: str, number: int) -> str | None:
+    """The stand-ins of the form of a value, by number from 0 on; None beyond the last."""
+    count = _Count(number)
+    found = _fixed(kind, value, count)
+    return None if count.number else found
+
+
 def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
     """A stand-in for an entity: the same for the same key and attempt, of the same kind and form."""
     stream = _Stream(key, kind, value, attempt)
@@ -186,17 +232,8 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
         longer = "".join(chr(97 + stream.below(26)) for _ in range(attempt // 4))
         # a host's stand-in depends on the host alone, so addresses of one host stay together
         return f"{_shaped(local, stream)}{longer}@{_shaped(host, _Stream(key, 'host', domain, 0))}.{top}"
-    if kind == "phone":
-        head = 2 if value.startswith("+") else 0
-        return value[:head] + _shaped(value[head:], stream)
-    if kind == "ip":
-        return ".".join(str(1 + stream.below(254)) for _ in range(4))
-    if kind == "card":
-        body = value[0] + _shaped(value[1:-1], stream)
-        return body + str(-_luhn(body + "0") % 10)
-    if kind == "iban":
-        body = _shaped(value[4:], stream)
-        return f"{value[:2]}{98 - _iban_rest(value[:2] + '00' + body):02d}{body}"
+    if kind in FIXED:
+        return _fixed(kind, value, stream)
     if kind == "secret" and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value):
         digits = "0123456789abcdef" if value == value.lower() else "0123456789ABCDEF"
         return "".join(digits[stream.below(16)] for _ in value)
@@ -207,11 +244,15 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
     return _shaped(value, stream) + "".join(chr(97 + stream.below(26)) for _ in range(attempt // 4))
 
 
+def _spelled(sign: str, new: str) -> str:
+    return _digit_like(sign, int(new)) if sign.isdecimal() and new.isdecimal() else new
+
+
 def _respelled(mention: Mention, found: str, stand_in: str) -> str:
-    """The stand-in in the spelling of the mention: its separators, its case."""
+    """The stand-in in the spelling of the mention: its separators, its case, the script of its digits."""
     if mention.kind in ("phone", "card", "iban"):
         left = iter(stand_in)
-        spelled = "".join(next(left, "") if c.isalnum() or c == "+" else c for c in found)
+        spelled = "".join(_spelled(c, next(left, "")) if c.isalnum() or c == "+" else c for c in found)
         return spelled + "".join(left)
     if mention.kind == "email" and found.isupper():
         return stand_in.upper()
@@ -250,7 +291,9 @@ def assign(found: DataFrame, key: bytes, rounds: int = ROUNDS) -> DataFrame:
 
     Entities draw again until that holds: one that drew the stand-in of another
     gives way unless it is settled or has the lesser value, one that drew a
-    real value always does. Only the losers of a round are drawn anew.
+    real value always does. Only the losers of a round are drawn anew. Those of
+    fixed length that still have none after all rounds get the unused values of
+    their form in order; it is an error if a form has fewer than it needs.
     """
 
     def drawn(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -275,7 +318,43 @@ def assign(found: DataFrame, key: bytes, rounds: int = ROUNDS) -> DataFrame:
             return judged.select("kind", "value", "surrogate")
         again = draw(lost.select("kind", "value", (F.col("attempt") + 1).alias("attempt"))).withColumn("settled", F.lit(False))
         state = materialize(judged.where(F.col("settled")).unionByName(again), "surrogates")
-    raise RuntimeError(f"no distinct surrogates after {rounds} rounds")
+    settled, lost = state.where("settled").select("kind", "value", "surrogate"), state.where("NOT settled").select("kind", "value")
+    if not lost.where(~F.col("kind").isin(*FIXED)).isEmpty():
+        raise RuntimeError(f"no distinct surrogates after {rounds} rounds")
+    rest = materialize(_unused(real, settled, lost), "unused")
+    if rest.count() < lost.count():
+        raise RuntimeError("more entities of a form than it has unused values")
+    return settled.unionByName(rest)
+
+
+def _unused(real: DataFrame, settled: DataFrame, lost: DataFrame) -> DataFrame:
+    """`kind`, `value`, `surrogate`: the first values of each form that are neither real nor taken, in order for `lost`."""
+
+    def formed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(form=[numbered(k, v, 0) for k, v in zip(batch["kind"], batch["value"])])
+
+    def listed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch["surrogate"] = [numbered(k, f, n) for k, f, n in zip(batch["kind"], batch["form"], batch["n"])]
+            yield batch[batch["surrogate"].notna()]
+
+    def form(values: DataFrame) -> DataFrame:
+        fixed = values.where(F.col("kind").isin(*FIXED)).select("kind", "value")
+        return fixed.mapInPandas(formed, "kind string, value string, form string")
+
+    lost = materialize(form(lost), "lost")
+    used = real.select("kind", "value").union(settled.select("kind", "surrogate")).distinct()
+    counts = form(used).groupBy("kind", "form").agg(F.count("*").alias("taken"))
+    # the first `taken` + `wanted` values of a form hold `wanted` unused ones, if it has so many
+    wanted = lost.groupBy("kind", "form").agg(F.count("*").alias("wanted")).join(counts, ["kind", "form"], "left")
+    most = F.col("wanted") + F.coalesce("taken", F.lit(0)) - 1
+    free = (wanted.select("kind", "form", F.explode(F.sequence(F.lit(0).cast("long"), most)).alias("n"))
+            .mapInPandas(listed, "kind string, form string, n long, surrogate string")
+            .join(used.select("kind", F.col("value").alias("surrogate")), ["kind", "surrogate"], "left_anti"))
+    place = lambda by: F.row_number().over(Window.partitionBy("kind", "form").orderBy(by)).alias("place")
+    return (lost.select("*", place("value")).join(free.select("kind", "form", "surrogate", place("n")), ["kind", "form", "place"])
+            .select("kind", "value", "surrogate"))
 
 
 def replace_entities(docs: DataFrame, key: bytes = DEMO_KEY, text: str = "text", count: str | None = None) -> DataFrame:
