@@ -28,7 +28,3 @@ def rows():
         found = [tuple(row) for row in (df.select(*columns) if columns else df).collect()]
         return sorted(found, key=lambda row: [(value is not None, str(type(value)), value) for value in row])
     return collect
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

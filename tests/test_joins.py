@@ -2,7 +2,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from plans import plan_of
 from wardline.operators import joins
 
 FULL = (3534401, 3534402, 3550308, 0, 7, 353440)

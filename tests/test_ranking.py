@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import Window, functions as F
 
-from conftest import plan_of
+from plans import plan_of
 from wardline.operators import months, ranking
 from wardline.plans import trends
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from conftest import plan_of
+from plans import plan_of
 from wardline.operators import dedup, projections, quality
 
 NAN = float("nan")

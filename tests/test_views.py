@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from plans import plan_of
 from wardline import schemas
 from wardline.plans import gold, reports, silver, trends, views
 from wardline.plans.reports import CaseSlice
