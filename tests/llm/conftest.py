@@ -1,10 +1,5 @@
-import sys
-from pathlib import Path
-
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 #: A table's own columns may have any names, also those that operators use inside.
 EXTRA = ["score", "fingerprint", "key", "k", "t", "fp", "size", "piece", "label", "node", "component_id", "wl_row", "digest"]
