@@ -19,6 +19,10 @@ COLUMNS = {
     "op8_gam": ("documents", "doc_id bigint, held_out boolean, score double, predicted int"),
     "op9_mixing": ("documents", "doc_id bigint, size bigint, source_size bigint, target double, taken bigint"),
     "op10_surrogates": ("documents", "doc_id bigint, text string"),
+    "op11_fim": ("documents", "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, output_sha256 string, "
+                              "restored_sha256 string"),
+    "op12_exact_topk": ("", "query_id bigint, rank int, vec_id bigint, score bigint"),
+    "op13_collocations": ("", "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint"),
 }
 
 
