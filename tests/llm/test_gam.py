@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -44,6 +45,18 @@ def test_scores_are_the_sums_of_the_tables():
         assert abs(1 / (1 + np.exp(-total)) - model.scores(values)[row]) < 1e-9
 
 
+def test_letters_and_capitals_equal_the_plain_definition_at_every_length():
+    rng = random.Random(6)
+    scripts = ["abcXYZ .,", "éÀß — … “”", "жЖщ ΩωΔ", "日本語。、「」", "😀🎉 ⅣⓐⒶ٣ǅ"]
+    for length in range(1, 201):
+        for script in (*scripts, "".join(scripts)):
+            text = "".join(rng.choice(script) for _ in range(length))
+            assert gam._letters(text) == (sum(map(str.isalpha, text)), sum(map(str.isupper, text)))
+    short, long = "ABC — — … ", "ABC — — … " * 20
+    place = gam.FEATURES.index("upper_share")
+    assert gam.features(short)[place] == gam.features(long)[place] == 1.0
+
+
 def test_nulls_empty_texts_and_no_labels(spark, documents):
     assert gam.features(None) == gam.features("") == gam.features(" \n") == [0.0] * len(gam.FEATURES)
     docs = documents([(1, None), (None, ""), (2, "a word " * 30_000), (2, "x")])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -35,8 +36,7 @@ def features(text: str | None) -> list[float]:
         return [0.0] * len(FEATURES)
     lengths = np.fromiter(map(len, found), np.int64, count)
     lines = [line for line in text.split("\n") if line and not line.isspace()]
-    letters = sum(map(str.isalpha, text)) if len(text) < 64 else int(_classes(text, "alpha"))
-    upper = int(_classes(text, "upper"))
+    letters, upper = _letters(text)
     digits = sum(map(text.count, "0123456789"))
     counts: dict[str, int] = {}
     for word in found:
@@ -51,13 +51,17 @@ def features(text: str | None) -> list[float]:
     ]
 
 
-def _classes(text: str, kind: str) -> int:
-    """Letters, or upper-case letters, of a text, counted without a loop for the signs that have no accent."""
-    data = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    upper = ((data >= 65) & (data <= 90)) | ((data >= 0xC0) & (data <= 0xDE) & (data != 0xD7))
-    if kind == "upper":
-        return int(upper.sum())
-    return int((upper | ((data >= 97) & (data <= 122)) | (data >= 0xDF)).sum())
+@cache
+def _classes() -> np.ndarray:
+    """For every code point 1 if it is a letter, and 2 more if it is upper-case; made once per worker."""
+    signs = list(map(chr, range(0x110000)))
+    return np.array(list(map(str.isalpha, signs)), np.uint8) + 2 * np.array(list(map(str.isupper, signs)), np.uint8)
+
+
+def _letters(text: str) -> tuple[int, int]:
+    """Letters, and upper-case signs, of a text of any length and script."""
+    found = np.bincount(_classes()[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)], minlength=4)
+    return int(found[1] + found[3]), int(found[2] + found[3])
 
 
 def feature_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
