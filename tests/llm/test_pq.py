@@ -95,3 +95,16 @@ def test_links_between_dense_groups_are_found(spark):
     one, other = np.eye(16)[0], 0.945 * np.eye(16)[0] + math.sqrt(1 - 0.945 ** 2) * np.eye(16)[1]
     rows = [(key, [float(np.float32(x)) for x in (one if key % 2 else other) + rng.normal(0, 0.005, 16)], 0) for key in range(200)]
     assert run(spark, rows, per_list=100) == plain(rows)
+
+
+def test_pairs_on_the_limit_are_decided_alike_in_small_and_large_pieces():
+    rng = np.random.default_rng(8)
+    rows = rng.normal(0, 1, (300, 64))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    x, y = (at.ravel() for at in np.indices((300, 300)))
+    for limit in pq._cosines(rows[x[7::9001]], rows[y[7::9001]]):
+        every = pq._linked(rows, rows, x, y, limit)
+        one_by_one = [bool(pq._linked(rows, rows, x[i:i + 1], y[i:i + 1], limit)[0]) for i in range(3, len(x), 301)]
+        assert every[3::301].tolist() == one_by_one
+        on = np.flatnonzero(pq._cosines(rows[x], rows[y]) == limit)
+        assert len(on) and every[on].all()

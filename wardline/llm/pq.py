@@ -92,6 +92,29 @@ def _unit(data: Iterable[bytes], kind: str) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosines of unit vectors, row by row: the value that decides, whatever else is compared beside it."""
+    return np.einsum("ij,ij->i", a, b)
+
+
+def _linked(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, cosine: float) -> np.ndarray:
+    """Whether rows `x` of `a` and `y` of `b` reach the cosine.
+
+    Where many pairs are asked for, one product of matrices settles all that are
+    not within rounding of the limit; those are left to `_cosines`.
+    """
+    if len(x) * 8 > len(a) * len(b):
+        rough = (a @ b.T)[x, y]
+        linked = rough >= cosine
+        open_ = np.flatnonzero(np.abs(rough - cosine) < 1e-9)
+    else:
+        linked, open_ = np.empty(len(x), bool), np.arange(len(x))
+    for at in range(0, len(open_), 65536):
+        some = open_[at:at + 65536]
+        linked[some] = _cosines(a[x[some]], b[y[some]]) >= cosine
+    return linked
+
+
 def _prepared(vectors: DataFrame, key: str, vector: str, label: str) -> tuple[DataFrame, str]:
     """`key` as text, and for usable vectors label, size, bytes, and a digest that equals only where these do."""
     wide = isinstance(vectors.schema[vector].dataType.elementType, T.FloatType)
@@ -189,14 +212,7 @@ def links(classes: DataFrame, kind: str, cosine: float = COSINE, margin: float =
                 if same:
                     close = np.triu(close, 1)
                 x, y = close.nonzero()
-                exact = np.empty(len(x))
-                if len(x) * 8 > close.size:
-                    exact = (other @ unit.T)[x, y]
-                else:
-                    for at in range(0, len(x), 65536):
-                        cut = slice(at, at + 65536)
-                        exact[cut] = np.einsum("ij,ij->i", other[x[cut]], unit[y[cut]])
-                linked = exact >= cosine
+                linked = _linked(other, unit, x, y, cosine)
                 x, y = x[linked], y[linked]
                 if not first["inner"]:
                     back = [np.asarray(cells, np.int64) + at * MOST_LISTS for at, cells in enumerate(listed["looks"])]
