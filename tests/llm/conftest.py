@@ -2,7 +2,9 @@ import pytest
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 #: A table's own columns may have any names, also those that operators use inside.
-EXTRA = ["score", "fingerprint", "key", "k", "t", "fp", "size", "piece", "label", "node", "component_id", "wl_row", "digest"]
+EXTRA = ["score", "fingerprint", "key", "k", "t", "fp", "size", "piece", "label", "node", "component_id", "wl_row", "digest", "gone",
+         "n_replaced", "wl_replaced", "wl_new", "wl_stand_ins", "own", "row", "mix_source", "lang_", "n", "a", "b", "y", "held_out",
+         "predicted", "kept", "rejected", "taken", "target", "place", "names", "count", "bucket", "start", "length"]
 
 
 @pytest.fixture

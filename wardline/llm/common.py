@@ -15,6 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, made longer until `df` has no column of that name, in any case of its letters."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(text: str | None) -> bytes:
     """Whole text as bytes; null is empty. Lone surrogates, which UTF-8 has no bytes for, become `?`."""
     return b"" if text is None else text.encode("utf-8", "replace")

@@ -10,7 +10,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from wardline.llm.common import forest, pairs_in_groups, utf8, whole_groups, words
+from wardline.llm.common import forest, free_name, pairs_in_groups, utf8, whole_groups, words
 from wardline.llm.components import components
 from wardline.session import materialize
 
@@ -144,8 +144,9 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
 
 def keep_least(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
     """The rows of `docs` that stay when each component in `found` (`key`, `component_id`) keeps its least key."""
-    gone = materialize(found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("gone")).distinct(), "gone")
+    name = free_name(docs, "gone")
+    gone = materialize(found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias(name)).distinct(), "gone")
     # a repeated key whose rows lie in two components stays where it is the least of one
-    stays = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("gone")).distinct()
+    stays = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias(name)).distinct()
     # the keys grow with the corpus: the same plan, a merge join that AQE may split, at every size
-    return docs.join(gone.join(stays, "gone", "left_anti").hint("merge"), docs[key] == F.col("gone"), "left_anti")
+    return docs.join(gone.join(stays, name, "left_anti").hint("merge"), docs[key] == F.col(name), "left_anti")

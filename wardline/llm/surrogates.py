@@ -364,7 +364,8 @@ def replace_entities(docs: DataFrame, key: bytes = DEMO_KEY, text: str = "text",
     different stand-ins. Texts without a digit, an @ or a title take no part in
     any shuffle; the others are joined to their stand-ins by digest, so copies,
     repeated and null keys do not matter. Null and empty texts stay as they are.
-    All other columns are returned as they are, whatever their names.
+    All other columns are returned as they are, whatever their names; one that is
+    called `count` gives way to the number.
     """
     found = materialize(entities(docs, text), "mentions")
     named = assign(found, key)
@@ -383,8 +384,9 @@ def replace_entities(docs: DataFrame, key: bytes = DEMO_KEY, text: str = "text",
     rows = docs.where(quick).select(F.struct("*").alias("wl_row"))
     joined = rows.join(by_text, _digest(F.col(f"wl_row.{text}")) == F.col("wl_stand_ins.digest"), "left")
     done = joined.select("wl_row", changed(F.col(f"wl_row.{text}"), F.col("wl_stand_ins.names")).alias("wl_new"))
-    columns = [F.col("wl_new.text").alias(c) if c == text else F.col(f"wl_row.`{c}`").alias(c) for c in docs.columns]
-    rest = docs.where(~quick)
+    kept = [c for c in docs.columns if count is None or c.lower() != count.lower()]
+    columns = [F.col("wl_new.text").alias(c) if c == text else F.col(f"wl_row.`{c}`").alias(c) for c in kept]
+    rest = docs.where(~quick).select(*[F.col(f"`{c}`") for c in kept])
     if count is not None:
         columns.append(F.col("wl_new.n").alias(count))
         rest = rest.withColumn(count, F.lit(0).cast("long"))
