@@ -252,3 +252,53 @@ def test_broken_registry_lines_are_listed(spark, tmp_path):
     path.mkdir()
     (path / "a.json").write_text('{"codigo_cnes": 1, "nome_fantasia": "A"}\n{"codigo_cnes": 2, "nome\nnot json\n{"codigo_cnes": "x"}\n')
     assert sorted(r.line for r in tables.broken_registry_lines(spark, str(path)).collect()) == ["not json", '{"codigo_cnes": 2, "nome']
+
+
+def jobs_of(spark, name, work):
+    """(number of jobs, number of tasks that failed) of what `work` runs."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setJobGroup("rest", "rest")
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup(name)]
+    stages = [tracker.getStageInfo(stage) for job in jobs if job for stage in job.stageIds]
+    return len(jobs), sum(stage.numFailedTasks for stage in stages if stage), {job.status for job in jobs if job}
+
+
+def test_conflicting_types_cost_no_failed_job_and_jobs_do_not_grow_with_files(spark, tmp_path):
+    counts = []
+    for months in (4, 24):
+        root = str(tmp_path / f"lake{months}")
+        for month in range(months):
+            kind = "STRING" if month % 2 else "BIGINT"
+            drop(spark, root, "SP", f"{2020 + month // 12}{month % 12 + 1:02d}", f"SELECT CAST({month} AS {kind}) AS N_AIH, 1L AS DIAS_PERM")
+        jobs, failed, states = jobs_of(spark, f"scan{months}", lambda: partitioned.read_drifting_parquet(spark, root, TARGET).collect())
+        assert failed == 0 and states == {"SUCCEEDED"}
+        counts.append(jobs)
+    assert counts[0] == counts[1]
+
+
+def test_a_type_that_one_file_has_gets_its_own_scan(spark, tmp_path, rows):
+    root = str(tmp_path / "odd")
+    for part in range(12):
+        spark.range(part, part + 1).selectExpr("id AS N_AIH", "1L AS DIAS_PERM").coalesce(1).write.mode("append").parquet(f"{root}/uf=SP/ano_mes=202301")
+    odd = spark.range(1).selectExpr("'x' AS N_AIH", "'7' AS DIAS_PERM", "2.5D AS VAL_TOT").coalesce(1)
+    odd.write.mode("append").parquet(f"{root}/uf=SP/ano_mes=202301")
+    for direct in (True, False):
+        files = partitioned._files(spark, root, ("uf", "ano_mes"), {})
+        index = partitioned.footer_index(files, TARGET.names, direct)
+        kinds = index.groupBy("kind").count().orderBy("count").collect()
+        assert [(r["kind"], r["count"]) for r in kinds] == [("DIAS_PERM string, N_AIH string, VAL_TOT double", 1),
+                                                            ("DIAS_PERM int64, N_AIH int64", 12)]
+    df = partitioned.read_drifting_parquet(spark, root, TARGET)
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
+    assert rows(df, "N_AIH", "DIAS_PERM", "VAL_TOT") == sorted([(str(i), 1, None) for i in range(12)] + [("x", 7, 2.5)])
+
+
+def test_a_least_month_leaves_earlier_folders_out(spark, drifting, rows):
+    found = partitioned.discover_partitions(spark, drifting, since={"ano_mes": "202303"})
+    assert rows(found, "uf", "ano_mes") == [("01", "202303"), ("RJ", "202304"), ("RJ", "202305")]
+    df = partitioned.read_drifting_parquet(spark, drifting, TARGET, since={"ano_mes": "202303"})
+    assert rows(df, "N_AIH") == [("0013",), ("x2",)]

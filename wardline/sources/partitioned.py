@@ -2,39 +2,81 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import io
+from collections.abc import Iterable, Iterator
 from functools import reduce
-from itertools import chain
-from multiprocessing.pool import ThreadPool
+from urllib.parse import urlsplit
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import pandas as pd
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from wardline.sources.harmonize import harmonize
 
-FOOTER_READERS = 32
-FOOTER_BATCH = 64
+#: Schemes whose files a task opens itself, reading the footer and nothing else, and what they are called there.
+DIRECT = {"": "file", "file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs"}
 
 
-def discover_partitions(spark: SparkSession, root: str, keys: tuple[str, ...] = ("uf", "ano_mes")) -> DataFrame:
+def _files(spark: SparkSession, root: str, keys: tuple[str, ...], since: dict[str, str]) -> DataFrame:
+    """`path`, `folder` and the key values of every file of a folder that has every key in its path."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    values = {key: F.regexp_extract("path", rf"/{key}=([^/]*)/", 1) for key in keys}
+    wanted: list[Column] = [F.col(key) >= since.get(key, "") for key in keys]
+    return (files.withColumns({"folder": F.regexp_extract("path", r"^(.*)/[^/]*$", 1), **values})
+            .filter(reduce(lambda left, right: left & right, [F.col(key) != "" for key in keys] + wanted)))
+
+
+def discover_partitions(spark: SparkSession, root: str, keys: tuple[str, ...] = ("uf", "ano_mes"),
+                        since: dict[str, str] | None = None) -> DataFrame:
     """One row per folder that has every key in its path: `path` and the key values.
 
-    Spark lists the files; `content` is never selected, so no file is opened.
+    `since` gives keys a least value, in text order. Spark lists the files;
+    `content` is never selected, so no file is opened.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
-    folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
-    values = {key: F.regexp_extract("path", rf"/{key}=([^/]*)/", 1) for key in keys}
-    return (
-        files.select(folder.alias("path"), *[value.alias(key) for key, value in values.items()])
-        .filter(reduce(lambda left, right: left & right, [F.col(key) != "" for key in keys]))
-        .distinct()
-        .orderBy("path")
-    )
+    found = _files(spark, root, keys, since or {})
+    return found.select(F.col("folder").alias("path"), *keys).distinct().orderBy("path")
+
+
+def _schema_of(path: str, content: bytes | None):
+    if content is not None:
+        return pq.read_schema(io.BytesIO(content))
+    parts = urlsplit(path)
+    if DIRECT[parts.scheme] == "file":
+        return pq.read_schema(path.removeprefix(f"{parts.scheme}:").replace("//", "/") if parts.scheme else path)
+    system, place = fs.FileSystem.from_uri(DIRECT[parts.scheme] + path[len(parts.scheme):])
+    with system.open_input_file(place) as file:
+        return pq.read_schema(file)
+
+
+def footer_index(files: DataFrame, names: Iterable[str], direct: bool = True) -> DataFrame:
+    """`path`, `folder`, `kind`: every file and the types its footer gives the columns in `names`, whatever their case.
+
+    Files of one `kind` can be read by one scan. Tasks open the files, reading
+    the footer only; with `direct=False`, for a file system that only Spark can
+    open, they get the whole files from Spark.
+    """
+    wanted = {name.upper() for name in names}
+
+    def read(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            contents = [None] * len(batch) if direct else batch["content"]
+            kinds = []
+            for path, content in zip(batch["path"], contents):
+                types = {field.name.upper(): str(field.type) for field in _schema_of(path, content) if field.name.upper() in wanted}
+                kinds.append(", ".join(f"{name} {types[name]}" for name in sorted(types)))
+            yield batch[["path", "folder"]].assign(kind=kinds)
+
+    if direct:  # only paths are moved: many small tasks, whatever the sizes of the files
+        spark = files.sparkSession
+        files = files.select("path", "folder").repartition(max(spark.sparkContext.defaultParallelism, 1) * 4)
+        return files.mapInPandas(read, "path string, folder string, kind string")
+    return files.select("path", "folder", "content").mapInPandas(read, "path string, folder string, kind string")
 
 
 def read_drifting_parquet(spark: SparkSession, root: str, target: T.StructType,
-                          keys: tuple[str, ...] = ("uf", "ano_mes"), keep: tuple[str, ...] = ("uf",)) -> DataFrame:
+                          keys: tuple[str, ...] = ("uf", "ano_mes"), keep: tuple[str, ...] = ("uf",),
+                          since: dict[str, str] | None = None) -> DataFrame:
     """All partitions of `root` in the `target` schema, with the partition keys in `keep`.
 
     A column may be text in one month and a number in the next, which no single
@@ -42,59 +84,42 @@ def read_drifting_parquet(spark: SparkSession, root: str, target: T.StructType,
     footers give the target columns, and every group is one scan: the plan has
     as many branches as there are conflicting types, not as there are months.
 
-    The footers of all files count, so a column that only some files have is
-    never lost. They are read by Spark, of a batch of folders at a time; where
-    types conflict in a batch its halves are read, down to single folders, and
-    where they conflict in a folder its files. What comes back therefore does not
-    depend on the batches, and only paths and schemas reach the driver.
+    One job reads the footers of all files, so a column, or a type, that a
+    single file has is never lost. A folder whose files differ is read file by
+    file. Spark gives the types of one file of each kind; only paths and kinds
+    reach the driver. `since` gives keys a least value, in text order.
     """
-    # types change with time, which is the last key: in its order, few batches meet a change
-    found = discover_partitions(spark, root, keys).orderBy(*reversed(keys), "path").select("path")
-    folders = [row.path for row in found.toLocalIterator()]
-    if not folders:
+    files = _files(spark, root, keys, since or {})
+    direct = urlsplit(root).scheme in DIRECT
+    found = (footer_index(files, target.names, direct).groupBy("folder")
+             .agg(F.collect_set("kind").alias("kinds"), F.collect_list(F.struct("path", "kind")).alias("files"))
+             .select("folder", F.element_at("kinds", 1).alias("kind"), F.element_at("files", 1).getField("path").alias("file"),
+                     F.when(F.size("kinds") > 1, F.col("files")).alias("files")).collect())
+    if not found:
         raise ValueError(f"no partition folders with {', '.join(keys)} under {root}")
+    members: dict[str, list[str]] = {}
+    samples: dict[str, str] = {}
+    for row in sorted(found, key=lambda row: row.folder):
+        for kind, member, file in ([(f.kind, f.path, f.path) for f in sorted(row.files)] if row.files else
+                                   [(row.kind, row.folder, row.file)]):
+            members.setdefault(kind, []).append(member)
+            samples.setdefault(kind, file)
     wanted = {name.upper() for name in target.names}
-    batches = [folders[start:start + FOOTER_BATCH] for start in range(0, len(folders), FOOTER_BATCH)]
-
-    def columns_of(paths: list[str]) -> dict[str, T.StructField]:
-        schema = spark.read.option("basePath", root).option("mergeSchema", True).parquet(*paths).schema
-        return {f.name.upper(): f for f in schema.fields if f.name.upper() in wanted}
-
-    def files_of(folder: str) -> list[str]:
-        return sorted(row.path for row in spark.read.format("binaryFile").load(folder).select("path").collect())
-
-    def footers(paths: list[str]) -> list[tuple[str, dict[str, T.StructField]]]:
-        try:
-            shared = columns_of(paths)
-        except (PySparkException, Py4JJavaError) as error:
-            if not _is_conflict(error):
-                raise
-            parts = paths if len(paths) > 1 else files_of(paths[0])
-            if len(parts) == 1:
-                raise
-            half = len(parts) // 2
-            return footers(parts[:half]) + footers(parts[half:])
-        return [(path, shared) for path in paths]
-
-    with ThreadPool(min(FOOTER_READERS, len(batches))) as pool:
-        groups = _compatible_groups(chain.from_iterable(pool.map(footers, batches)))
 
+    def columns_of(file: str) -> dict[str, T.StructField]:
+        return {f.name.upper(): f for f in spark.read.parquet(file).schema.fields if f.name.upper() in wanted}
+
+    groups = _compatible_groups((path, columns) for kind, columns in ((k, columns_of(f)) for k, f in samples.items())
+                                for path in members[kind])
     scans = []
-    for columns, members in groups:
+    for columns, paths in groups:
         # Partition values are declared as text, so that "01" stays "01".
         schema = T.StructType([*columns.values(), *[T.StructField(key, T.StringType()) for key in keys]])
-        scan = spark.read.schema(schema).option("basePath", root).parquet(*members)
+        scan = spark.read.schema(schema).option("basePath", root).parquet(*paths)
         scans.append(harmonize(scan, target, keep))
     return union_all(scans)
 
 
-def _is_conflict(error: Exception) -> bool:
-    """Whether reading failed because the footers give a column different types."""
-    said = str(error)
-    return any(sign in said for sign in ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE", "Failed merging schema",
-                                         "Failed to merge"))
-
-
 def _compatible_groups(footers: Iterable[tuple[str, dict[str, T.StructField]]],
                        ) -> list[tuple[dict[str, T.StructField], list[str]]]:
     """Folders that one schema can read: the same type wherever they share a column.
