@@ -96,3 +96,13 @@ def test_counts_meet_the_facilities(spark):
         assert "partial_sum" in plan[:plan.index("SortMergeJoin")]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_repeated_code_gives_a_facility_one_point(spark, rows):
+    dim = spark.createDataFrame([(1, 350001, None, None), (2, 3500015, None, 4.0), (3, 3500019, None, None), (4, 350001, 1.0, 2.0),
+                                 (5, 99, None, None)], "cnes_id long, codigo_municipio long, latitude double, longitude double")
+    reference = spark.createDataFrame([(3500015, 7.0, 7.0), (3500015, 5.0, 9.0), (3500015, None, 1.0), (3500019, 6.0, 6.0), (99, 1.0, None)],
+                                      "codigo_ibge long, latitude double, longitude double")
+    found = joins.fill_coordinates(dim, reference)
+    assert rows(found, "cnes_id", "latitude", "longitude", "is_coord_estimated") == [
+        (1, 5.0, 9.0, True), (2, 5.0, 9.0, True), (3, 6.0, 6.0, True), (4, 1.0, 2.0, False), (5, None, None, False)]

@@ -83,10 +83,19 @@ def fill_coordinates(dim: DataFrame, coordinates: DataFrame, code: str = "codigo
     """Give facilities without a position that of their municipality, flagged.
 
     A position counts only whole: with one half missing both halves are taken
-    from the municipality.
+    from the municipality. A facility is never multiplied: a code that the
+    reference has more than once, or that is also another code without its
+    check digit, has one point, that of the full code before that of a stem and
+    then the least.
     """
-    points = coordinates.select("codigo_ibge", F.struct("latitude", "longitude").alias("_point"))
-    joined = join_municipality(dim, points, ["_point"], code, "codigo_ibge")
+    full = F.col("codigo_ibge").cast("bigint")
+    spelled = F.array(F.struct(full.alias("code"), F.lit(0).alias("rank")),
+                      F.struct(F.expr("cast(codigo_ibge AS bigint) div 10").alias("code"), F.lit(1).alias("rank")))
+    points = (coordinates.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+              .select(F.explode(spelled).alias("_spelled"), "latitude", "longitude")
+              .groupBy(F.col("_spelled.code").alias(_CODE))
+              .agg(F.min(F.struct("_spelled.rank", "latitude", "longitude")).alias("_point")))
+    joined = dim.join(points, dim[code].cast("bigint") == points[_CODE], "left").drop(_CODE)
     lacking = F.col("latitude").isNull() | F.col("longitude").isNull()
     filled = {axis: F.when(lacking & F.col("_point").isNotNull(), F.col(f"_point.{axis}")).otherwise(F.col(axis))
               for axis in ("latitude", "longitude")}
