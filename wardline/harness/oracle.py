@@ -190,7 +190,8 @@ CTES = {
     "dropped_adm": """
         SELECT * EXCLUDE (partkey, shipped), CASE WHEN landed // 100 % 3 <> 1 THEN partkey END AS PROC_REA FROM dropped""",
     "run_sil": """
-        SELECT CNES AS cnes_id, DIAG_PRINC AS cid_principal, VAL_TOT AS valor_total, DIAS_PERM AS dias_permanencia,
+        SELECT CNES AS cnes_id, MUNIC_MOV AS municipio_id, DIAG_PRINC AS cid_principal, VAL_TOT AS valor_total,
+               DIAS_PERM AS dias_permanencia,
                CAST(CASE WHEN DT_INTER LIKE '____-__-__' THEN try_strptime(DT_INTER, '%Y-%m-%d')
                          WHEN DT_INTER NOT LIKE '%/%' THEN try_strptime(DT_INTER, '%Y%m%d') END AS DATE) AS dia
         FROM (SELECT * FROM dropped_adm QUALIFY row_number() OVER (PARTITION BY N_AIH ORDER BY
@@ -263,8 +264,7 @@ def _scaled(column: str) -> str:
 
 
 def _written(name: str) -> str:
-    return (f"SELECT '{name}' AS escrita, coalesce(uf, '--') AS uf, SEXO, count(*) AS linhas, "
-            f"CAST(sum(DIAS_PERM) AS BIGINT) AS dias, count(DISTINCT N_AIH) AS ids FROM adm GROUP BY ALL")
+    return f"SELECT '{name}' AS escrita, * REPLACE (coalesce(uf, '--') AS uf) FROM adm"
 
 
 SELECTS = {
@@ -317,21 +317,22 @@ SELECTS = {
                DIAS_PERM + CASE WHEN uf = 'SP' AND landed // 100 = 1997 THEN 1000 ELSE 0 END AS DIAS_PERM,
                uf, CAST(landed AS VARCHAR) AS ano_mes
         FROM dropped""",
-    "sink_json": """
-        SELECT codigo_cnes, nome_fantasia, codigo_municipio, data_atualizacao
-        FROM reg CROSS JOIN (VALUES (1), (2)) AS runs(run)""",
-    "sink_csv": "SELECT cnes_id, nome_estabelecimento, indice_pressao FROM occ_index",
+    "sink_json": f"SELECT {_REGISTRY} FROM reg CROSS JOIN (VALUES (1), (2)) AS runs(run)",
+    "sink_csv": "SELECT * FROM occ_index",
     "catalog_tables": """
-        SELECT 'fato_internacoes' AS tabela, count(*) AS linhas, CAST(sum(dias_permanencia) AS BIGINT) AS soma_1,
-               CAST(sum(semana) AS BIGINT) AS soma_2 FROM run_fato
-        UNION ALL SELECT 'dim_hospital', count(*), CAST(sum(codigo_tipo_unidade) AS BIGINT), CAST(sum(codigo_municipio) AS BIGINT)
-                  FROM dim
-        UNION ALL SELECT 'dim_tempo', count(*), CAST(sum((mes - 1) // 3 + 1) AS BIGINT), CAST(sum(semana) AS BIGINT)
-                  FROM (SELECT DISTINCT ano, mes, semana FROM run_fato)
-        UNION ALL SELECT 'kpi_pressao_hospitalar', count(*), CAST(sum(n) AS BIGINT), CAST(sum(criticos) AS BIGINT) FROM run_feats
-        UNION ALL SELECT 'kpi_tendencia_doencas', count(*), CAST(sum(casos) AS BIGINT), CAST(sum(antes) AS BIGINT) FROM run_trend
-        UNION ALL SELECT 'municipios_referencia', count(*), CAST(sum(populacao) AS BIGINT), CAST(sum(codigo_municipio) AS BIGINT)
-                  FROM muni""",
+        SELECT 'fato_internacoes' AS tabela, cnes_id, municipio_id, semana AS semana_epidemiologica, cid_principal, valor_total,
+               dias_permanencia, ano, mes FROM run_fato
+        UNION ALL BY NAME SELECT 'dim_hospital' AS tabela, * EXCLUDE (data_atualizacao)
+            REPLACE (round(latitude, 6) AS latitude, round(longitude, 6) AS longitude) FROM dim
+        UNION ALL BY NAME SELECT DISTINCT 'dim_tempo' AS tabela, ano, mes, semana AS semana_epidemiologica,
+            CAST((mes - 1) // 3 + 1 AS INTEGER) AS trimestre FROM run_fato
+        UNION ALL BY NAME SELECT 'kpi_pressao_hospitalar' AS tabela, cnes_id, ano, mes, n AS qtd_internacoes,
+            round(media, 6) AS permanencia_media, criticos AS pacientes_criticos, indice AS indice_pressao, TRUE AS em_ordem FROM run_press
+        UNION ALL BY NAME SELECT 'kpi_tendencia_doencas' AS tabela, uf, cid_principal, ano, mes, semana AS semana_epidemiologica,
+            casos AS qtd_casos, antes AS qtd_casos_semana_anterior,
+            round(CASE WHEN antes > 0 THEN (casos - antes) / antes * 100 END, 6) AS variacao_pct FROM run_trend
+        UNION ALL BY NAME SELECT 'municipios_referencia' AS tabela, * REPLACE (round(meta_leitos_1000hab, 6) AS meta_leitos_1000hab)
+            FROM muni""",
     "catalog_views": """
         SELECT 'geral' AS visao, uf, nome_municipio AS chave, ano, mes, count(*) AS casos,
                round(avg(dias_permanencia), 6) AS media
@@ -339,9 +340,10 @@ SELECTS = {
         UNION ALL
         SELECT 'tendencia', uf, cid_principal, ano, mes, CAST(sum(casos) AS BIGINT),
                round(avg(CASE WHEN antes > 0 THEN (casos - antes) / antes * 100 END), 6)
-        FROM run_trend GROUP BY uf, cid_principal, ano, mes""",
+        FROM run_trend GROUP BY uf, cid_principal, ano, mes
+        UNION ALL SELECT v, NULL, NULL, NULL, NULL, 0, NULL FROM (VALUES ('regiao'), ('ranking')) AS compared(v)""",
     "full_run": """
-        SELECT ano, mes, uf, nome_municipio, count(*) AS qtd_internacoes,
+        SELECT ano, mes, uf, nome_municipio, TRUE AS nivel_valido, count(*) AS qtd_internacoes,
                round(CAST(sum(CAST(valor_total AS DECIMAL(38, 6))) AS DOUBLE), 6) AS valor_total_pago,
                round(avg(dias_permanencia), 6) AS permanencia_media, round(avg(indice), 6) AS indice_pressao_medio
         FROM run_fato JOIN placed USING (cnes_id)
@@ -398,12 +400,8 @@ SELECTS = {
     "audit_geo": "SELECT cnes_id, nome_estabelecimento FROM dim WHERE latitude IS NULL",
     "dedup_admissions": "SELECT * EXCLUDE (internacao, saida) FROM adm_first",
     "latest_version": "SELECT codigo_cnes, nome_fantasia, codigo_tipo_unidade, data_atualizacao FROM reg_latest",
-    "join_left": """
-        SELECT cnes_id, uf, count(*) AS linhas FROM fato LEFT JOIN (SELECT cnes_id, uf FROM dim) USING (cnes_id)
-        GROUP BY ALL""",
-    "join_inner": """
-        SELECT cnes_id, nome_estabelecimento, count(*) AS linhas
-        FROM fato JOIN (SELECT cnes_id, nome_estabelecimento FROM dim) USING (cnes_id) GROUP BY ALL""",
+    "join_left": "SELECT * FROM fato LEFT JOIN (SELECT cnes_id, uf FROM dim) USING (cnes_id)",
+    "join_inner": "SELECT * FROM fato JOIN (SELECT cnes_id, nome_estabelecimento FROM dim) USING (cnes_id)",
     "join_disjunctive": "SELECT cnes_id, codigo_municipio, nome_municipio, regiao_saude, populacao FROM placed",
     "coverage_anti": "SELECT DISTINCT cnes_id FROM fato WHERE cnes_id NOT IN (SELECT cnes_id FROM dim)",
     "coverage_semi": "SELECT codigo_cnes, nome_fantasia FROM reg WHERE codigo_cnes IN (SELECT cnes_id FROM fato)",
@@ -422,6 +420,12 @@ SELECTS = {
                latitude IS NULL AND n_nationkey IS NOT NULL AS is_coord_estimated
         FROM dim LEFT JOIN nation ON (350000 + n_nationkey) * 10 + 5 = codigo_municipio
                                   OR 350000 + n_nationkey = codigo_municipio""",
+    "geo_fill_repeats": """
+        SELECT cnes_id,
+               round(coalesce(latitude, -11 - n_nationkey / 4.0::DOUBLE), 6) AS latitude,
+               round(coalesce(longitude, -51 - n_nationkey / 8.0::DOUBLE), 6) AS longitude,
+               latitude IS NULL AND n_nationkey IS NOT NULL AS is_coord_estimated
+        FROM dim LEFT JOIN nation ON codigo_municipio IN (3500005 + n_nationkey * 10, 350000 + n_nationkey)""",
     "union_by_name": """
         SELECT c_custkey AS chave, c_mktsegment AS segmento, NULL AS nome FROM customer
         UNION ALL SELECT s_suppkey, NULL, s_name FROM supplier""",

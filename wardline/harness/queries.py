@@ -229,8 +229,7 @@ def land_registry_codes(spark, sf):
 @query
 def sink_roundtrip(spark, sf):
     """Co-located, plain partitioned and unpartitioned writes, each read back."""
-    rows = A.admissions(spark, sf).select(
-        "N_AIH", "DIAS_PERM", F.coalesce("uf", F.lit("--")).alias("uf"), F.col("SEXO"))
+    rows = A.admissions(spark, sf).withColumn("uf", F.coalesce("uf", F.lit("--")))
     read = []
     for name in ("colocated", "partitioned", "plain"):
         path = fresh_path(spark, name)
@@ -238,10 +237,8 @@ def sink_roundtrip(spark, sf):
             writers.write_table(rows, path)
         else:
             writers.write_partitioned(rows, path, ["uf"], colocate=name == "colocated")
-        read.append(tables.read_table(spark, path, rows.schema).groupBy("uf", "SEXO").agg(
-            F.count("*").alias("linhas"), F.sum("DIAS_PERM").alias("dias"),
-            F.count_distinct("N_AIH").alias("ids")).select(F.lit(name).alias("escrita"), "*"))
-    return partitioned.union_all(read)
+        read.append(tables.read_table(spark, path, rows.schema).select(F.lit(name).alias("escrita"), "*"))
+    return comparable(partitioned.union_all(read))
 
 
 @query
@@ -263,8 +260,7 @@ def sink_json(spark, sf):
     raw = A.registry(spark, sf).select("*", F.coalesce(codes.state_abbrev("codigo_uf"), F.lit("--")).alias("uf"))
     for _ in range(2):
         writers.land_registry(raw, root)
-    return comparable(tables.read_registry(spark, root)).select("codigo_cnes", "nome_fantasia", "codigo_municipio",
-                                                                 "data_atualizacao")
+    return comparable(tables.read_registry(spark, root))
 
 
 @query
@@ -273,7 +269,7 @@ def sink_csv(spark, sf):
     index = pressure.pressure_index_occupancy(A.occupancy_features(spark, sf))
     writers.write_csv(index, path)
     back = H.harmonize(tables.read_csv(spark, path), index.schema)
-    return comparable(back.select("cnes_id", "nome_estabelecimento", "indice_pressao"))
+    return comparable(back)
 
 
 def _run(spark: SparkSession, sf: str, database: str) -> dict[str, DataFrame]:
@@ -289,21 +285,30 @@ def _run(spark: SparkSession, sf: str, database: str) -> dict[str, DataFrame]:
 
 @query
 def catalog_tables(spark, sf):
-    """Every catalog table after a whole run: its rows, and sums over some of its columns (not the clustered ones)."""
+    """The rows of every catalog table after a whole run; of the risk levels, whether they rise with the volume."""
     _run(spark, sf, "gold_tables")
-    sums = {"fato_internacoes": ("dias_permanencia", "semana_epidemiologica"), "dim_hospital": ("codigo_tipo_unidade", "codigo_municipio"),
-            "dim_tempo": ("trimestre", "semana_epidemiologica"), "kpi_pressao_hospitalar": ("qtd_internacoes", "pacientes_criticos"),
-            "kpi_tendencia_doencas": ("qtd_casos", "qtd_casos_semana_anterior"), MUNICIPALITY_TABLE: ("populacao", "codigo_municipio")}
-    return partitioned.union_all([
-        spark.table(f"gold_tables.{name}").agg(
-            F.count("*").alias("linhas"), *[F.sum(F.col(c).cast("bigint")).alias(f"soma_{i}") for i, c in enumerate(sums[name], 1)])
-        .select(F.lit(name).alias("tabela"), "*")
-        for name in (*GOLD_TABLES, MUNICIPALITY_TABLE)])
+    read = []
+    for name in (*GOLD_TABLES, MUNICIPALITY_TABLE):
+        rows = spark.table(f"gold_tables.{name}")
+        if "nivel_risco" in rows.columns:
+            rows = _in_order(rows, "qtd_internacoes").drop("cluster")
+        read.append(rows.select(F.lit(name).alias("tabela"), "*"))
+    return comparable(partitioned.union_all(read))
+
+
+def _differences(one: DataFrame, other: DataFrame) -> DataFrame:
+    """How many rows are in one of two tables and not in the other, doubles rounded."""
+    one, other = comparable(one), comparable(other)
+    return one.exceptAll(other).unionByName(other.exceptAll(one)).agg(F.count("*").alias("casos"))
 
 
 @query
 def catalog_views(spark, sf):
-    """The views of the catalog after a whole run, as another session reads them by name: the overview and the trend."""
+    """The views of the catalog after a whole run, as another session reads them by name.
+
+    The rows of the overview and the trend; of the two that depend on clusters,
+    how many rows differ from the literal SQL over the tables of the catalog.
+    """
     _run(spark, sf, "gold_views")
     other = spark.newSession()
     overview = other.table("gold_views.vw_acompanhamento_geral").select(
@@ -312,14 +317,32 @@ def catalog_views(spark, sf):
     trend = other.table("gold_views.vw_tendencia_doencas").select(
         F.lit("tendencia").alias("visao"), "uf", F.col("cid_principal").alias("chave"), "ano", "mes",
         F.col("qtd_casos_mes").alias("casos"), F.col("variacao_media_pct").alias("media"))
-    return comparable(overview.unionByName(trend))
+    place = """LEFT JOIN gold_views.municipios_referencia AS m
+               ON h.codigo_municipio = m.codigo_municipio OR h.codigo_municipio = m.codigo_municipio div 10"""
+    region = other.sql(f"""
+        SELECT h.uf, nome_municipio, latitude, longitude, regiao_saude, avg(indice_pressao) AS indice_pressao_medio,
+               min(nivel_risco) AS nivel_risco_regiao, sum(dias_permanencia) / nullif(populacao, 0) * 1000 AS internacoes_por_1000hab
+        FROM gold_views.fato_internacoes JOIN gold_views.kpi_pressao_hospitalar USING (cnes_id, ano, mes)
+        JOIN gold_views.dim_hospital AS h USING (cnes_id) {place}
+        GROUP BY h.uf, nome_municipio, latitude, longitude, regiao_saude, populacao""")
+    critical = other.sql(f"""
+        SELECT nome_estabelecimento, h.uf, nome_municipio, ano, mes, indice_pressao, nivel_risco, qtd_internacoes, permanencia_media,
+               CAST(rank() OVER (PARTITION BY ano, mes ORDER BY indice_pressao DESC NULLS LAST) AS BIGINT) AS ranking_criticidade
+        FROM gold_views.kpi_pressao_hospitalar JOIN gold_views.dim_hospital AS h USING (cnes_id) {place}
+        WHERE nivel_risco IN ({", ".join(f"'{level}'" for level in V.ALERT_LEVELS)})""")
+    compared = [_differences(other.table(f"gold_views.{name}"), literal).select(F.lit(short).alias("visao"), "casos")
+                for short, name, literal in (("regiao", "vw_pressao_por_regiao", region),
+                                             ("ranking", "vw_ranking_hospitais_criticos", critical))]
+    return comparable(partitioned.union_all([overview, trend, *compared]))
 
 
 @query
 def full_run(spark, sf):
-    """A whole run from landed files; the overview without its clustered column."""
+    """A whole run from landed files; of the clustered level of the overview, whether there is one where there is an index."""
     overview = _run(spark, sf, "gold_run")["vw_acompanhamento_geral"]
-    return comparable(overview.drop("nivel_risco_predominante"))
+    level, known = F.col("nivel_risco_predominante"), F.col("indice_pressao_medio").isNotNull()
+    valid = F.when(known, F.coalesce(level.isin(*V.RISK_LEVELS), F.lit(False))).otherwise(level.isNull())
+    return comparable(overview.withColumn("nivel_valido", valid).drop("nivel_risco_predominante"))
 
 
 # Projections and derivations ----------------------------------------------------------------------
@@ -457,14 +480,12 @@ def latest_version(spark, sf):
 
 @query
 def join_left(spark, sf):
-    joined = joins.with_state(A.fact(spark, sf), A.dim(spark, sf))
-    return joined.groupBy("cnes_id", "uf").agg(F.count("*").alias("linhas"))
+    return comparable(joins.with_state(A.fact(spark, sf), A.dim(spark, sf)))
 
 
 @query
 def join_inner(spark, sf):
-    joined = joins.with_facility(A.fact(spark, sf), A.dim(spark, sf), ["nome_estabelecimento"])
-    return joined.groupBy("cnes_id", "nome_estabelecimento").agg(F.count("*").alias("linhas"))
+    return comparable(joins.with_facility(A.fact(spark, sf), A.dim(spark, sf), ["nome_estabelecimento"]))
 
 
 @query
@@ -511,6 +532,16 @@ def geo_fill(spark, sf):
         "cnes_id", "latitude", "longitude", "is_coord_estimated"))
 
 
+@query
+def geo_fill_repeats(spark, sf):
+    """Facilities against a reference that has every code twice, and once more without a latitude."""
+    points = A.coordinates(spark, sf)
+    shifted = points.withColumns({"latitude": F.col("latitude") - 1, "longitude": F.col("longitude") - 1})
+    reference = points.unionByName(shifted).unionByName(points.withColumn("latitude", F.lit(None).cast("double")))
+    return comparable(joins.fill_coordinates(A.dim(spark, sf), reference).select(
+        "cnes_id", "latitude", "longitude", "is_coord_estimated"))
+
+
 @query
 def union_by_name(spark, sf):
     customers = A.table(spark, sf, "customer").select(F.col("c_custkey").alias("chave"),
