@@ -37,6 +37,51 @@ def register_tables(spark: SparkSession, gold_root: str, municipalities_path: st
               f"USING csv OPTIONS (header 'true', escape '\"') LOCATION '{municipalities_path}'")
 
 
+def publish(spark: SparkSession, gold_root: str, municipalities_path: str, database: str = "gold",
+            months: list[tuple[int, int]] | None = None) -> None:
+    """Point the tables of `database` at a finished run under `gold_root`; no file is touched.
+
+    Everything is written before this is called, so a run that ends earlier
+    leaves the tables as they were. Only entries of the catalog change: the
+    location of each small table, and of the months of the fact that the run
+    wrote. Given `months`, the run wrote those only: the other months stay where
+    they are, and those of them without rows now are dropped. A table that does
+    not exist yet, or has other columns, is created.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name, (schema, partitions) in GOLD_TABLES.items():
+        full, place = f"`{database}`.`{name}`", f"{gold_root}/{name}"
+        declared = [(field.name, field.dataType.simpleString()) for field in schema.fields]
+        if spark.catalog.tableExists(f"{database}.{name}") and spark.table(full).dtypes != declared:
+            spark.sql(f"DROP TABLE {full}")
+        layout = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({_columns(schema)}) USING parquet {layout} LOCATION '{place}'")
+        if not partitions:
+            spark.sql(f"ALTER TABLE {full} SET LOCATION '{place}'")
+            spark.catalog.refreshTable(f"{database}.{name}")
+            continue
+        # as many rows as there are months
+        weeks = spark.read.schema(GOLD_TABLES["dim_tempo"][0]).parquet(f"{gold_root}/dim_tempo")
+        present = {(row.ano, row.mes) for row in weeks.select("ano", "mes").distinct().collect()}
+        known = {tuple(int(value.split("=")[1]) for value in row.partition.split("/"))
+                 for row in spark.sql(f"SHOW PARTITIONS {full}").collect()}
+        written = present if months is None else present & set(months)
+        gone = known - present if months is None else (known & set(months)) - present
+        entry = lambda year, month: f"PARTITION (ano = {year}, mes = {month})"
+        at = lambda year, month: f"LOCATION '{place}/ano={year}/mes={month}'"
+        for month in sorted(written & known):
+            spark.sql(f"ALTER TABLE {full} {entry(*month)} SET {at(*month)}")
+        if written - known:
+            spark.sql(f"ALTER TABLE {full} ADD IF NOT EXISTS " + " ".join(f"{entry(*m)} {at(*m)}" for m in sorted(written - known)))
+        if gone:
+            spark.sql(f"ALTER TABLE {full} DROP IF EXISTS " + ", ".join(entry(*m) for m in sorted(gone)))
+        spark.catalog.refreshTable(f"{database}.{name}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{MUNICIPALITY_TABLE}` ({_columns(schemas.MUNICIPALITIES)}) "
+              f"USING csv OPTIONS (header 'true', escape '\"') LOCATION '{municipalities_path}'")
+    spark.sql(f"ALTER TABLE `{database}`.`{MUNICIPALITY_TABLE}` SET LOCATION '{municipalities_path}'")
+    spark.catalog.refreshTable(f"{database}.{MUNICIPALITY_TABLE}")
+
+
 # The views as the catalog keeps them. Like their DataFrame forms they first combine the fact to a row per facility and
 # month, and join facilities and municipalities to that.
 _MONTHS = """

@@ -18,11 +18,13 @@ from wardline.sources.harmonize import harmonize
 DIRECT = {"": "file", "file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs"}
 
 
-def _files(spark: SparkSession, root: str, keys: tuple[str, ...], since: dict[str, str]) -> DataFrame:
+def _files(spark: SparkSession, root: str, keys: tuple[str, ...], since: dict[str, str],
+           only: dict[str, list[str]] | None = None) -> DataFrame:
     """`path`, `folder` and the key values of every file of a folder that has every key in its path."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     values = {key: F.regexp_extract("path", rf"/{key}=([^/]*)/", 1) for key in keys}
     wanted: list[Column] = [F.col(key) >= since.get(key, "") for key in keys]
+    wanted += [F.col(key).isin(values_) for key, values_ in (only or {}).items()]
     return (files.withColumns({"folder": F.regexp_extract("path", r"^(.*)/[^/]*$", 1), **values})
             .filter(reduce(lambda left, right: left & right, [F.col(key) != "" for key in keys] + wanted)))
 
@@ -76,7 +78,7 @@ def footer_index(files: DataFrame, names: Iterable[str], direct: bool = True) ->
 
 def read_drifting_parquet(spark: SparkSession, root: str, target: T.StructType,
                           keys: tuple[str, ...] = ("uf", "ano_mes"), keep: tuple[str, ...] = ("uf",),
-                          since: dict[str, str] | None = None) -> DataFrame:
+                          since: dict[str, str] | None = None, only: dict[str, list[str]] | None = None) -> DataFrame:
     """All partitions of `root` in the `target` schema, with the partition keys in `keep`.
 
     A column may be text in one month and a number in the next, which no single
@@ -87,9 +89,10 @@ def read_drifting_parquet(spark: SparkSession, root: str, target: T.StructType,
     One job reads the footers of all files, so a column, or a type, that a
     single file has is never lost. A folder whose files differ is read file by
     file. Spark gives the types of one file of each kind; only paths and kinds
-    reach the driver. `since` gives keys a least value, in text order.
+    reach the driver. `since` gives keys a least value, in text order, `only` the
+    values wanted.
     """
-    files = _files(spark, root, keys, since or {})
+    files = _files(spark, root, keys, since or {}, only)
     direct = urlsplit(root).scheme in DIRECT
     found = (footer_index(files, target.names, direct).groupBy("folder")
              .agg(F.collect_set("kind").alias("kinds"), F.collect_list(F.struct("path", "kind")).alias("files"))
