@@ -90,9 +90,11 @@ def dropped_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-def write_drifting(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Write the landed folders with three sets of column types, by year."""
+def write_drifting(spark: SparkSession, sf_dir: str, root: str, which: Column | None = None) -> None:
+    """Write the landed folders, or those `which` holds for, with three sets of column types, by year."""
     rows = dropped_admissions(spark, sf_dir)
+    if which is not None:
+        rows = rows.filter(which)
     kind = F.left("ano_mes", F.lit(4)).cast("int") % 3
     layouts = (
         rows.withColumn("N_AIH", F.col("N_AIH").cast("string")),

@@ -190,7 +190,7 @@ CTES = {
     "dropped_adm": """
         SELECT * EXCLUDE (partkey, shipped), CASE WHEN landed // 100 % 3 <> 1 THEN partkey END AS PROC_REA FROM dropped""",
     "run_sil": """
-        SELECT CNES AS cnes_id, MUNIC_MOV AS municipio_id, DIAG_PRINC AS cid_principal, VAL_TOT AS valor_total,
+        SELECT N_AIH, CNES AS cnes_id, MUNIC_MOV AS municipio_id, DIAG_PRINC AS cid_principal, VAL_TOT AS valor_total,
                DIAS_PERM AS dias_permanencia,
                CAST(CASE WHEN DT_INTER LIKE '____-__-__' THEN try_strptime(DT_INTER, '%Y-%m-%d')
                          WHEN DT_INTER NOT LIKE '%/%' THEN try_strptime(DT_INTER, '%Y%m%d') END AS DATE) AS dia
@@ -267,6 +267,15 @@ def _written(name: str) -> str:
     return f"SELECT '{name}' AS escrita, * REPLACE (coalesce(uf, '--') AS uf) FROM adm"
 
 
+_WHOLE_RUN = """
+        SELECT ano, mes, uf, nome_municipio, TRUE AS nivel_valido, count(*) AS qtd_internacoes,
+               round(CAST(sum(CAST(valor_total AS DECIMAL(38, 6))) AS DOUBLE), 6) AS valor_total_pago,
+               round(avg(dias_permanencia), 6) AS permanencia_media, round(avg(indice), 6) AS indice_pressao_medio
+        FROM run_fato JOIN placed USING (cnes_id)
+        LEFT JOIN (SELECT cnes_id, ano, mes, indice FROM run_press) USING (cnes_id, ano, mes)
+        GROUP BY ALL"""
+
+
 SELECTS = {
     "src_partitions": "SELECT DISTINCT uf, CAST(landed AS VARCHAR) AS ano_mes FROM dropped",
     "src_drift_scan": "SELECT * EXCLUDE (landed) FROM dropped_adm",
@@ -342,13 +351,15 @@ SELECTS = {
                round(avg(CASE WHEN antes > 0 THEN (casos - antes) / antes * 100 END), 6)
         FROM run_trend GROUP BY uf, cid_principal, ano, mes
         UNION ALL SELECT v, NULL, NULL, NULL, NULL, 0, NULL FROM (VALUES ('regiao'), ('ranking')) AS compared(v)""",
-    "full_run": """
-        SELECT ano, mes, uf, nome_municipio, TRUE AS nivel_valido, count(*) AS qtd_internacoes,
-               round(CAST(sum(CAST(valor_total AS DECIMAL(38, 6))) AS DOUBLE), 6) AS valor_total_pago,
-               round(avg(dias_permanencia), 6) AS permanencia_media, round(avg(indice), 6) AS indice_pressao_medio
-        FROM run_fato JOIN placed USING (cnes_id)
-        LEFT JOIN (SELECT cnes_id, ano, mes, indice FROM run_press) USING (cnes_id, ano, mes)
-        GROUP BY ALL""",
+    "full_run": _WHOLE_RUN,
+    "month_run": _WHOLE_RUN,
+    "silver_by_month": """
+        SELECT N_AIH, cnes_id, municipio_id, cid_principal, valor_total, CAST(dias_permanencia AS INTEGER) AS dias_permanencia, ano, mes
+        FROM run_fato""",
+    "silver_id_index": """
+        SELECT N_AIH, string_agg(DISTINCT CAST(landed AS VARCHAR), ' ' ORDER BY CAST(landed AS VARCHAR)) AS meses, any_value(ano) AS ano,
+               any_value(mes) AS mes
+        FROM dropped_adm LEFT JOIN (SELECT N_AIH, ano, mes FROM run_fato) USING (N_AIH) GROUP BY N_AIH""",
     "proj_dim": """
         SELECT * EXCLUDE (data_atualizacao) REPLACE (round(latitude, 6) AS latitude, round(longitude, 6) AS longitude)
         FROM dim""",

@@ -15,7 +15,7 @@ from wardline import schemas, vocabulary as V
 from wardline.functions import codes, dates, numbers
 from wardline.harness import adapter as A
 from wardline.operators import dedup, joins, months, projections, quality, ranking, statistics
-from wardline.plans import full_run as runs, gold, landing, pressure, reports, silver, trends, views
+from wardline.plans import full_run as runs, gold, landing, months as by_month, pressure, reports, silver, trends, views
 from wardline.session import fresh_path
 from wardline.sinks import writers
 from wardline.sinks.catalog import GOLD_TABLES, MUNICIPALITY_TABLE
@@ -272,15 +272,59 @@ def sink_csv(spark, sf):
     return comparable(back)
 
 
-def _run(spark: SparkSession, sf: str, database: str) -> dict[str, DataFrame]:
+#: The months that come later in runs by month.
+LATER = [f"1997{month:02d}" for month in range(1, 13)]
+
+
+def _lake(spark: SparkSession, sf: str, which: Column | None = None) -> runs.Paths:
     base = fresh_path(spark, "run")
     paths = runs.Paths(f"{base}/admissions", f"{base}/registry", f"{base}/municipalities",
                        f"{base}/silver", f"{base}/gold")
-    A.write_drifting(spark, sf, paths.admissions)
+    A.write_drifting(spark, sf, paths.admissions, which)
     raw = A.registry(spark, sf).select("*", F.coalesce(codes.state_abbrev("codigo_uf"), F.lit("--")).alias("uf"))
     writers.land_registry(raw, paths.registry)
     writers.write_csv(A.municipalities(spark, sf), paths.municipalities)
-    return runs.full_run(spark, paths, database)
+    return paths
+
+
+def _run(spark: SparkSession, sf: str, database: str) -> dict[str, DataFrame]:
+    return runs.full_run(spark, _lake(spark, sf), database)
+
+
+@query
+def silver_by_month(spark, sf):
+    """Silver built without one year, which is landed and taken in afterwards; as if all had been there."""
+    later = F.col("ano_mes").isin(LATER)
+    paths = _lake(spark, sf, ~later)
+    runs.build_silver(spark, paths)
+    by_month.build_index(spark, paths.admissions, paths.silver)
+    A.write_drifting(spark, sf, paths.admissions, later)
+    by_month.update_silver(spark, paths.admissions, paths.silver, LATER)
+    kept = tables.read_table(spark, f"{paths.silver}/internacoes", schemas.SILVER_ADMISSIONS)
+    return comparable(kept.select("N_AIH", "cnes_id", "municipio_id", "cid_principal", "valor_total", "dias_permanencia", "ano", "mes"))
+
+
+@query
+def silver_id_index(spark, sf):
+    """The index after the same: of every id, in how many landed months it has copies and where the one that stayed is."""
+    later = F.col("ano_mes").isin(LATER)
+    paths = _lake(spark, sf, ~later)
+    runs.build_silver(spark, paths)
+    by_month.build_index(spark, paths.admissions, paths.silver)
+    A.write_drifting(spark, sf, paths.admissions, later)
+    by_month.update_silver(spark, paths.admissions, paths.silver, LATER)
+    index = tables.read_table(spark, f"{paths.silver}/ids", by_month.INDEX)
+    return index.select("N_AIH", F.array_join("meses", " ").alias("meses"), "ano", "mes")
+
+
+@query
+def month_run(spark, sf):
+    """A whole run without one year, then a run for its months; the overview, as of a run over all."""
+    later = F.col("ano_mes").isin(LATER)
+    paths = _lake(spark, sf, ~later)
+    runs.full_run(spark, paths, "gold_months", keep_index=True)
+    A.write_drifting(spark, sf, paths.admissions, later)
+    return _overview_rows(runs.month_run(spark, paths, LATER, "gold_months")["vw_acompanhamento_geral"])
 
 
 @query
@@ -339,7 +383,10 @@ def catalog_views(spark, sf):
 @query
 def full_run(spark, sf):
     """A whole run from landed files; of the clustered level of the overview, whether there is one where there is an index."""
-    overview = _run(spark, sf, "gold_run")["vw_acompanhamento_geral"]
+    return _overview_rows(_run(spark, sf, "gold_run")["vw_acompanhamento_geral"])
+
+
+def _overview_rows(overview: DataFrame) -> DataFrame:
     level, known = F.col("nivel_risco_predominante"), F.col("indice_pressao_medio").isNotNull()
     valid = F.when(known, F.coalesce(level.isin(*V.RISK_LEVELS), F.lit(False))).otherwise(level.isNull())
     return comparable(overview.withColumn("nivel_valido", valid).drop("nivel_risco_predominante"))
