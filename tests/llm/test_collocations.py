@@ -77,6 +77,21 @@ def test_phrases_equal_brute_force(spark, options):
     assert options["least"] == 300 or len(plain(rows, **known)) > 10
 
 
+def test_windows_may_be_sent_on_at_any_time(spark):
+    texts = spark.createDataFrame([(lang or "und", text) for text, lang in corpus(3)], "lang string, text string").repartition(40)
+    everything = np.full(C._PART // 8, 255, np.uint8)
+
+    def counted(held):
+        found = Counter()
+        rows = C.window_counts(texts, everything, everything, 5, C._PART, held).collect()
+        for row in rows:
+            found[tuple(row[:-1])] += row["n"]
+        return len(rows), found
+
+    (many, one), (few, other) = counted(3), counted(1000)
+    assert one == other and many >= few
+
+
 @pytest.mark.parametrize("size", [1, 2, 5, 17, 400])
 def test_slices_change_nothing(monkeypatch, size):
     texts = [text for text, _ in corpus(2, 30)]
@@ -96,16 +111,28 @@ def spelled(texts):
     return found
 
 
-def test_pairs_that_are_frequent_are_always_marked(spark):
+@pytest.mark.parametrize("buckets", [50, 1 << 20])
+def test_what_is_frequent_is_never_cut_off(spark, buckets):
     rows = corpus()
     texts = spark.createDataFrame([(lang or "und", text) for text, lang in rows], "lang string, text string").repartition(4)
-    bits = np.unpackbits(C.frequent_pairs(texts, 6, 5000))
-    pairs = Counter()
-    for lang in ("en", "de", "und"):
-        for vocabulary, grid in C._windows([t for t, own in rows if (own or "und") == lang], 2):
-            at = C._pair_buckets(lang, vocabulary, grid, 5000)[:, 0]
-            pairs.update(at[at >= 0].tolist())
-    assert {bucket for bucket, n in pairs.items() if n >= 6} == set(np.flatnonzero(bits).tolist())
+    pairs = C.frequent(texts, None, 5, 6, buckets)
+    longer = C.frequent(texts, pairs, 5, 6, buckets)
+    windows = C.window_counts(texts, pairs, longer, 5, buckets).collect()
+    every, kept = Counter(), Counter()
+    for lang in ("en", "de", "und", "xx"):
+        for window, n in spelled([t for t, own in rows if (own or "und") == lang]).items():
+            for size in range(1, 6):
+                if window[size - 1] is not None:
+                    every[lang, window[:size]] += n
+    for row in windows:
+        for size in range(1, 6):
+            if row[size] is not None:
+                kept[row["lang"], tuple(row[1:size + 1])] += row["n"]
+    assert all(kept[phrase] == n for phrase, n in every.items() if n >= 6)
+    assert all(every[phrase] >= n for phrase, n in kept.items())
+    assert sum(row["n"] for row in windows) == sum(n for (_, phrase), n in every.items() if len(phrase) == 1)
+    if buckets > 50:  # hardly any collisions: little else is left
+        assert len(kept) < 1.05 * sum(n >= 6 for n in every.values())
 
 
 def test_products_beyond_64_bits(spark):

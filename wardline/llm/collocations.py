@@ -21,11 +21,16 @@ TOP = 2000
 PERCENT = 100
 SCALE = 1000
 UNKNOWN = "und"
-#: Buckets in which pairs of words are counted beforehand: a byte each in a task, a bit each in the driver and when shared.
+#: Buckets in which words, pairs and longer prefixes are counted beforehand: a byte each in a task, a bit each in the driver
+#: and when shared.
 BUCKETS = 1 << 24
 _PART = 1 << 16
+_SALTS = 64
 #: Bytes of text that are worked on in one go.
-SLICE = 1 << 22
+SLICE = 1 << 20
+
+#: Most distinct windows that a task adds up before it sends them on.
+HELD = 1 << 19
 
 _TABLE = bytearray(range(256))
 for _sign in range(ord("A"), ord("Z") + 1):
@@ -97,17 +102,44 @@ def _windows(texts: Iterable[str | None], words: int) -> Iterator[tuple[list[byt
         data = following
 
 
-def _pair_buckets(lang: str, vocabulary: list[bytes], grid: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket of every two words in a row of a window, -1 where there is no second word."""
+def _hashes(lang: str, vocabulary: list[bytes]) -> np.ndarray:
     seed = xxhash.xxh64_intdigest(utf8(lang))
-    hashed = np.fromiter((xxhash.xxh64_intdigest(word, seed) for word in vocabulary), np.uint64, len(vocabulary))
-    found = np.full((len(grid), grid.shape[1] - 1), -1, np.int64)
-    for step in range(grid.shape[1] - 1):
-        rows = np.flatnonzero(grid[:, step + 1] >= 0)
-        mixed = hashed[grid[rows, step]] * np.uint64(0x9E3779B97F4A7C15) ^ hashed[grid[rows, step + 1]]
-        mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-        found[rows, step] = ((mixed ^ mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-    return found
+    return np.fromiter((xxhash.xxh64_intdigest(word, seed) for word in vocabulary), np.uint64, len(vocabulary))
+
+
+def _followed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    mixed = left * np.uint64(0x9E3779B97F4A7C15) ^ right
+    mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ mixed >> np.uint64(32)
+
+
+def _buckets(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return (hashes % np.uint64(buckets)).astype(np.int64)
+
+
+def _marked(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1) > 0
+
+
+def _cut_at_pairs(grid: np.ndarray, hashed: np.ndarray, bits: np.ndarray, buckets: int) -> None:
+    """End windows before the first word, or pair of words, that is rare for certain; a rare first word leaves nothing."""
+    frequent = _marked(bits, _buckets(hashed, buckets))
+    grid[~frequent[grid[:, 0]]] = -1
+    for step in range(1, grid.shape[1]):
+        rows = np.flatnonzero(grid[:, step] >= 0)
+        pairs = _followed(hashed[grid[rows, step - 1]], hashed[grid[rows, step]])
+        grid[rows[~(_marked(bits, _buckets(pairs, buckets)) & frequent[grid[rows, step]])], step:] = -1
+
+
+def _prefixes(grid: np.ndarray, hashed: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """From three words on: the size of a prefix, the windows that have it at this moment, and its hash there."""
+    rows = np.flatnonzero(grid[:, 1] >= 0) if grid.shape[1] > 1 else np.empty(0, np.int64)
+    own = _followed(hashed[grid[rows, 0]], hashed[grid[rows, 1]])
+    for step in range(2, grid.shape[1]):
+        on = grid[rows, step] >= 0
+        rows, own = rows[on], own[on]
+        own = _followed(own, hashed[grid[rows, step]])
+        yield step + 1, rows, own
 
 
 def _languages(batch: pd.DataFrame) -> Iterator[tuple[str, list[str | None]]]:
@@ -115,39 +147,58 @@ def _languages(batch: pd.DataFrame) -> Iterator[tuple[str, list[str | None]]]:
         yield lang, rows["text"].tolist()
 
 
-def frequent_pairs(texts: DataFrame, least: int = LEAST, buckets: int = BUCKETS) -> np.ndarray:
-    """For every bucket whether its pairs of words occur `least` times together, as bits.
+def _add(table: np.ndarray, at: np.ndarray, times: np.ndarray | None, least: int) -> None:
+    if times is None:
+        at, times = np.unique(at, return_counts=True)
+    else:
+        at, where = np.unique(at, return_inverse=True)
+        times = np.bincount(where, times, len(at)).astype(np.int64)
+    table[at] = np.minimum(table[at].astype(np.int64) + times, least)
+
+
+def frequent(texts: DataFrame, pairs: np.ndarray | None = None, words: int = WORDS, least: int = LEAST,
+             buckets: int = BUCKETS) -> np.ndarray:
+    """For every bucket whether what falls into it occurs `least` times together, as bits.
 
-    A pair in a bucket that does not reach `least` is rarer than that for
-    certain; the others may be frequent. Tasks add up by bucket, up to `least`,
-    and send parts of 65,536 buckets, so the driver gets `buckets` bits.
+    Without `pairs` words and pairs of neighbours are counted, else the prefixes
+    of three and more words of the windows that `pairs` leaves. What is in a
+    bucket below `least` is rarer than that for certain; the rest may be
+    frequent. Tasks add up by bucket, up to `least`, and send parts of 65,536
+    buckets, so the driver gets `buckets` bits.
     """
     kind = np.min_scalar_type(least)
+    shared = texts.sparkSession.sparkContext.broadcast(pairs)
 
     def counted(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = np.zeros(-(-buckets // _PART) * _PART, kind)
+        known = shared.value
         for batch in batches:
             for lang, rows in _languages(batch):
-                for vocabulary, grid in _windows(rows, 2):
-                    at = _pair_buckets(lang, vocabulary, grid, buckets)[:, 0]
-                    at, times = np.unique(at[at >= 0], return_counts=True)
-                    table[at] = np.minimum(table[at].astype(np.int64) + times, least)
+                for vocabulary, grid in _windows(rows, 2 if known is None else words):
+                    hashed = _hashes(lang, vocabulary)
+                    if known is None:
+                        _add(table, _buckets(hashed, buckets), np.bincount(grid[:, 0], minlength=len(hashed)), least)
+                        both = grid[grid[:, 1] >= 0]
+                        _add(table, _buckets(_followed(hashed[both[:, 0]], hashed[both[:, 1]]), buckets), None, least)
+                    else:
+                        _cut_at_pairs(grid, hashed, known, buckets)
+                        for _, _, own in _prefixes(grid, hashed):
+                            _add(table, _buckets(own, buckets), None, least)
         parts = table.reshape(-1, _PART)
         used = np.flatnonzero(parts.any(1))
-        for part in used:
-            yield pd.DataFrame({"part": [part], "counts": [parts[part].tobytes()]})
+        for at in range(0, len(used), 32):
+            yield pd.DataFrame({"part": used[at:at + 32], "counts": [part.tobytes() for part in parts[used[at:at + 32]]]})
 
     def added(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, total = None, None
+        found, part, total = [], None, np.zeros(_PART, np.int64)
         for batch in batches:
             for number, data in zip(batch["part"], batch["counts"]):
-                if number != part:
-                    if part is not None:
-                        yield pd.DataFrame({"part": [part], "bits": [np.packbits(total >= least).tobytes()]})
-                    part, total = number, np.zeros(_PART, np.int64)
-                total = np.minimum(total + np.frombuffer(data, kind), least)
+                if number != part and part is not None:
+                    found.append((part, np.packbits(total >= least).tobytes()))
+                    total = np.zeros(_PART, np.int64)
+                part, total = number, np.minimum(total + np.frombuffer(data, kind), least)
         if part is not None:
-            yield pd.DataFrame({"part": [part], "bits": [np.packbits(total >= least).tobytes()]})
+            yield pd.DataFrame([*found, (part, np.packbits(total >= least).tobytes())], columns=["part", "bits"])
 
     sums = (texts.mapInPandas(counted, "part int, counts binary").repartition("part").sortWithinPartitions("part")
             .mapInPandas(added, "part int, bits binary"))
@@ -157,32 +208,61 @@ def frequent_pairs(texts: DataFrame, least: int = LEAST, buckets: int = BUCKETS)
     return bits
 
 
-def window_counts(texts: DataFrame, bits: np.ndarray, words: int = WORDS, buckets: int = BUCKETS) -> DataFrame:
+def _summed(rows: np.ndarray) -> np.ndarray:
+    """Distinct rows, whose last column is the sum of the last columns."""
+    codes = rows[:, 0]
+    for column in rows.T[1:-1]:  # equal rows get equal numbers, one column after the other
+        codes = np.unique(codes * (column.max(initial=0) + 2) + column + 1, return_inverse=True)[1]
+    _, first, where = np.unique(codes, return_index=True, return_inverse=True)
+    found = rows[first]
+    found[:, -1] = np.bincount(where, rows[:, -1], len(first)).astype(np.int64)
+    return found
+
+
+def window_counts(texts: DataFrame, pairs: np.ndarray, longer: np.ndarray, words: int = WORDS, buckets: int = BUCKETS,
+                  held_rows: int = HELD) -> DataFrame:
     """`lang`, `w1` to `w<words>`, `n`: how often a window occurs at a word, by task.
 
-    A window ends with its piece, and before a pair that is rare for certain,
-    since no phrase with that pair can be frequent; behind its end it is null.
+    A window ends with its piece, and before the first word with which it is
+    rare for certain, since no phrase that goes on is frequent; behind its end
+    it is null. Words that are rare themselves add up in the empty window.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(bits)
+    shared = texts.sparkSession.sparkContext.broadcast((pairs, longer))
     names = [f"w{i + 1}" for i in range(words)]
 
+    def spelled(numbers: dict[bytes, int], rows: np.ndarray) -> Iterator[pd.DataFrame]:
+        words_ = np.array([*(word.decode() for word in numbers), None], object)
+        for at in range(0, len(rows), 1 << 16):
+            part = rows[at:at + (1 << 16)]
+            yield pd.DataFrame({name: words_[part[:, i]] for i, name in enumerate(["lang", *names])}).assign(n=part[:, -1])
+
     def counted(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
+        pairs, longer = shared.value
+        numbers: dict[bytes, int] = {}
+        held: list[np.ndarray] = []
         for batch in batches:
             for lang, rows in _languages(batch):
                 for vocabulary, grid in _windows(rows, words):
-                    at = _pair_buckets(lang, vocabulary, grid, buckets)
-                    rare = (known[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1) == 0
-                    grid[:, 1:][np.logical_or.accumulate(rare, axis=1)] = -1
-                    # equal rows get equal numbers, one column after the other
-                    codes = grid[:, 0]
-                    for column in grid.T[1:]:
-                        codes = np.unique(codes * (len(vocabulary) + 1) + column + 1, return_inverse=True)[1]
-                    _, first, times = np.unique(codes, return_index=True, return_counts=True)
-                    spelled = np.array([*(word.decode() for word in vocabulary), None], object)
-                    out = pd.DataFrame({name: spelled[grid[first, i]] for i, name in enumerate(names)})
-                    out.insert(0, "lang", lang)
-                    yield out.assign(n=times)
+                    hashed = _hashes(lang, vocabulary)
+                    _cut_at_pairs(grid, hashed, pairs, buckets)
+                    for size, at, own in _prefixes(grid, hashed):
+                        grid[at[~_marked(longer, _buckets(own, buckets))], size - 1:] = -1
+                    grid = _summed(np.column_stack([grid, np.ones(len(grid), np.int64)]))
+                    # numbers of the task; the last is for no word
+                    own = np.full(len(vocabulary) + 1, -1)
+                    for at in np.unique(grid[:, :-1]).tolist():
+                        if at >= 0:
+                            own[at] = numbers.setdefault(vocabulary[at], len(numbers))
+                    grid[:, :-1] = own[grid[:, :-1]]
+                    named = np.full((len(grid), 1), numbers.setdefault(utf8(lang), len(numbers)))
+                    held.append(np.hstack([named, grid]))
+                    if sum(map(len, held)) > held_rows:
+                        held = [_summed(np.concatenate(held))]
+                        if len(held[0]) > held_rows // 2:
+                            yield from spelled(numbers, held[0])
+                            numbers, held = {}, []
+        if held:
+            yield from spelled(numbers, _summed(np.concatenate(held)))
 
     return texts.mapInPandas(counted, "lang string, " + "".join(f"{name} string, " for name in names) + "n long")
 
@@ -218,18 +298,22 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", *, wor
     descending, then phrase in byte order.
 
     All texts are counted whole, in slices, so very long ones need no more memory
-    than short ones. The pairs counted beforehand only shorten windows where no
-    phrase can be frequent; `buckets` changes the work and not the result. Null
+    than short ones. What is counted beforehand, by hash, only shortens windows
+    where no phrase can be frequent; `buckets` changes the work and not the
+    result: the more words a bucket gets, the fewer windows are shortened. Null
     and empty texts have no words, a null language is `und`, repeated rows count
     each. An empty table gives an empty table. Other columns are not read.
     """
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
-    bits = frequent_pairs(texts, least, buckets)
-    counts = materialize(phrase_counts(window_counts(texts, bits, words, buckets), least, words), "phrases")
-    totals = counts.where("size = 0").select("lang", F.col("f").alias("n"))
+    pairs = frequent(texts, None, words, least, buckets)
+    longer = frequent(texts, pairs, words, least, buckets)
+    counts = materialize(phrase_counts(window_counts(texts, pairs, longer, words, buckets), least, words), "phrases")
+    # one language may have nearly all phrases, so its total is listed once per salt
+    totals = counts.where("size = 0").select("lang", F.col("f").alias("n"), F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
     phrases = counts.where("size >= 1").select("lang", "size", "phrase", "f")
     parts = F.split("phrase", " ")
-    candidates = phrases.where("size >= 2").select("lang", "size", "phrase", F.col("f").alias("a"), parts.alias("words"))
+    candidates = phrases.where("size >= 2").select("lang", "size", "phrase", F.col("f").alias("a"), parts.alias("words"),
+                                                   F.pmod(F.hash("phrase"), F.lit(_SALTS)).alias("salt"))
 
     first = phrases.select("lang", F.col("phrase").alias("first"), F.col("f").alias("l"))
     rest = phrases.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r"))
@@ -239,7 +323,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", *, wor
     # counts have at most 17 digits, so the longest product has 38
     wide = lambda name: f"CAST({name} AS DECIMAL(17, 0))"
     score = F.expr(f"CAST({scale} AS DECIMAL(4, 0)) * {wide('a')} * {wide('n')} div ({wide('l')} * {wide('r')})")
-    scored = (cut.join(first, ["lang", "first"]).join(rest, ["lang", "rest"]).join(totals, "lang").withColumn("score", score)
+    scored = (cut.join(first, ["lang", "first"]).join(rest, ["lang", "rest"]).join(totals, ["lang", "salt"]).withColumn("score", score)
               .groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut")))
 
     spans = F.expr("flatten(transform(sequence(2, size - 1), m -> transform(sequence(1, size - m + 1), "
