@@ -61,3 +61,13 @@ def test_without_trusted_texts_the_base_rules_decide(spark, documents):
     assert not ratios.any()
     assert all(r["kept"] != r["base_failed"] for r in rules.judge(documents(corpus()), ratios).collect())
     assert rules.judge(documents([]), ratios).count() == 0
+
+
+def test_words_are_parted_by_the_same_signs_as_in_the_counts():
+    whole = ["a\xa0b\x85c\x1cd\u3000e", "\u2028"]
+    for word in whole:
+        assert rules.text_counts(word)[0] == 1
+        grams, owner = rules._grams([word], 1 << 20)
+        assert len(grams) == len(owner) == 1
+    grams, _ = rules._grams(["a\tb\x0bc\r\nd"], 1 << 20)
+    assert len(grams) == 4 + 3

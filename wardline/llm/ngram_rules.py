@@ -60,15 +60,16 @@ def _grams(texts: list[str | None], buckets: int) -> tuple[np.ndarray, np.ndarra
     """
     found, sizes = [], []
     for text in texts:
-        own = (text or "").split()
+        own = utf8(text).split()  # the words of the counts: no other sign of Unicode parts them
         found += own
         sizes.append(len(own))
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     codes, vocabulary = pd.factorize(np.array(found, object))
     tokens = np.zeros((len(vocabulary), 2), np.uint64)
-    cores = [word.strip(string.punctuation) for word in vocabulary.tolist()]
-    tails = [word[len(word.rstrip(string.punctuation)):] for word in vocabulary.tolist()]
+    vocabulary = [word.decode() for word in vocabulary.tolist()]
+    cores = [word.strip(string.punctuation) for word in vocabulary]
+    tails = [word[len(word.rstrip(string.punctuation)):] for word in vocabulary]
     for column, parts in enumerate((cores, tails)):
         hashed = pd.util.hash_array(np.array(parts, object), categorize=False) | np.uint64(1)
         tokens[:, column] = np.where(np.array([bool(p) for p in parts]), hashed, 0)
