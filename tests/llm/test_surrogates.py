@@ -1,3 +1,5 @@
+import itertools
+import random
 import re
 
 import pytest
@@ -119,3 +121,90 @@ def test_a_form_without_enough_unused_values_is_an_error(spark, monkeypatch):
     full = spark.createDataFrame([("phone", f"+1{n}") for n in range(10)], "kind string, value string")
     with pytest.raises(RuntimeError):
         s.assign(full, b"k", rounds=1)
+
+
+@pytest.mark.parametrize("text, names", [
+    ("Mr John Smith met Ann Lee. Smith left, John stayed; SMITH's car", ["John", "Smith", "Smith", "John", "Smith"]),
+    ("Smith? Mr Smith's.", ["Smith", "Smith"]),
+    ("Sir O'Neil. O'Neil's, O'Neils, Neil", ["O'Neil", "O'Neil"]),
+    ("Frau Müller-Lüd. Müller-Lüd-led, Müller-Lüders, Hammersmith", ["Müller-Lüd", "Müller-Lüd"]),
+    ("Госпожа Анна Иванова, ИВАНОВА", ["Анна", "Иванова", "Иванова"]),
+    ("Ann Lee and John Smith", []),
+])
+def test_names_are_followed_through_their_text(text, names):
+    found = s.mentions(text)
+    assert [m.value for m in found] == names
+    assert all(text[m.start:m.end] in (m.value, m.value.upper()) for m in found)
+
+
+def test_a_whole_name_is_told_from_one_of_the_same_words():
+    found = [m[:2] for m in s.mentions("Mr John Lee met Mrs Lee Ann. Lee Ann left, Lee stayed")]
+    assert found[4:] == [("given_f", "Lee"), ("surname", "Ann"), ("surname", "Lee")]
+
+
+def test_long_texts_and_long_words_take_time_in_proportion():
+    for filler in ("a-" * 400_000, "mail me: " + "x@example.org " * 40_000, "Mr Smith " * 60_000):
+        assert len(s.mentions("Mr Smith said " + filler)) >= 1
+
+
+def of_gender(name, gender, script):
+    return name in s.GIVEN[gender, script] or name.endswith(s.ENDINGS[gender, script])
+
+
+@pytest.mark.parametrize("gender, script, value", [("m", "latin", "John"), ("f", "latin", "Ann"), ("m", "cyrillic", "Иван"),
+                                                   ("f", "cyrillic", "Анна"), ("m", "greek", "Νίκος"), ("f", "greek", "Άννα")])
+def test_given_names_keep_gender_and_script_at_any_attempt(gender, script, value):
+    drawn = [s.surrogate(f"given_{gender}", value, b"k", attempt) for attempt in range(200)]
+    assert all(of_gender(n, gender, script) and s._script(n) == script and n.istitle() for n in drawn)
+    assert len(set(drawn)) > 150 and not any(of_gender(n, "mf"[gender == "m"], script) for n in drawn)
+
+
+@pytest.mark.parametrize("value, ending", [("Иванова", "ова"), ("Иванов", "ов"), ("Andersson", "son"), ("Παπαδόπουλος", "ος")])
+def test_surnames_keep_their_ending(value, ending):
+    drawn = {s.surrogate("surname", value, b"k", attempt) for attempt in range(50)}
+    assert len(drawn) == 50 and all(d.endswith(ending) and d.istitle() for d in drawn)
+
+
+def test_more_given_names_than_the_lists_have_keep_gender_and_are_distinct(documents):
+    names = [("".join(p), g) for g in "mf" for p in list(itertools.product("BDKLM", "aeiou", "nrst", "aeo"))[:250]]
+    rows = [(i, f"{'Mr' if g == 'm' else 'Mrs'} {n}{g} Smith. {n}{g} left.") for i, (n, g) in enumerate(names)]
+    out = {r["doc_id"]: r["text"] for r in s.replace_entities(documents(rows), b"k").collect()}
+    new = {}
+    for i, (_, g) in enumerate(names):
+        match = re.fullmatch(r"(?:Mr|Mrs) (\w+) (\w+)\. (\w+) left\.", out[i])
+        assert match[1] == match[3] and of_gender(match[1], g, "latin")
+        new[i] = (g, match[1])
+        assert match[2] == re.search(r" (\w+)\.", out[0])[1] != "Smith"
+    assert len(set(new.values())) == 500
+
+
+def test_documents_equal_texts_put_together_from_known_entities(documents):
+    """Texts are dealt from literal words and spellings of known entities; what the pieces became must be one to one."""
+    rng = random.Random(5)
+    entities = {f"mail{i}": [f"u{i}@mail{i % 3}.example.com", f"U{i}@Mail{i % 3}.example.com"] for i in range(20)}
+    entities |= {f"ip{i}": [f"10.1.{i}.7"] for i in range(20)}
+    entities |= {f"phone{i}": [f"212-555-{1000 + i}", f"(212) 555-{1000 + i}"] for i in range(20)}
+    texts, parts = [], []
+    for key in range(120):
+        pieces = []
+        for _ in range(rng.randint(1, 12)):
+            pieces.append((None, prose(rng.randint(0, 999), rng.randint(1, 4))))
+            if rng.random() < 0.6:
+                name = rng.choice(sorted(entities))
+                pieces.append((name, rng.choice(entities[name])))
+        pieces.append((None, "end"))
+        texts.append((key, "|".join(p for _, p in pieces)))
+        parts.append(pieces)
+    out = {r["doc_id"]: r["text"] for r in s.replace_entities(documents(texts), b"k").collect()}
+    became = {}
+    for key, pieces in enumerate(parts):
+        new = out[key].split("|")
+        assert len(new) == len(pieces)
+        for (name, old), now in zip(pieces, new):
+            if name is None:
+                assert now == old
+            else:
+                plain = now.lower() if name.startswith("mail") else re.sub(r"\D", "", now) if name.startswith("phone") else now
+                assert became.setdefault(name, plain) == plain and re.sub(r"\w", "", now) == re.sub(r"\w", "", old)
+    real = {v.lower() for spelled in entities.values() for v in spelled}
+    assert len(set(became.values())) == len(became) and not set(became.values()) & real

@@ -6,6 +6,7 @@ import hashlib
 import hmac
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -32,6 +33,15 @@ GIVEN = {
     ("m", "greek"): ("Ανδρέας", "Γιώργος", "Δημήτρης", "Κώστας", "Νίκος", "Πέτρος"),
     ("f", "greek"): ("Άννα", "Ελένη", "Ειρήνη", "Κατερίνα", "Μαρία", "Σοφία"),
 }
+# Sounds that names beyond the lists are built of, endings of given names by gender, and of surnames, which stay.
+SOUNDS = {"latin": ("bdfghjklmnprstvz", "aeiou"), "cyrillic": ("бвгдзклмнпрст", "аеиоу"), "greek": ("βγδκλμνπρτφ", "αειο")}
+ENDINGS = {
+    ("m", "latin"): ("bert", "lor", "mus", "rick", "ton"), ("f", "latin"): ("lia", "na", "ra", "ssa", "tta"),
+    ("m", "cyrillic"): ("дан", "мир", "рий", "слав"), ("f", "cyrillic"): ("лина", "на", "рия", "са"),
+    ("m", "greek"): ("λης", "νος", "ρας"), ("f", "greek"): ("λια", "νη", "ρα"),
+}
+SURNAME_ENDINGS = ("dottir", "son", "ova", "ová", "ski", "ska", "ский", "ская", "ова", "ева", "ина", "ов", "ев", "ин",
+                   "άκης", "ίδης", "ου", "ος", "ης")
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _NAME = r"[^\W\d_a-zа-яα-ω][\w'’-]*[^\W\d_]"
@@ -47,6 +57,9 @@ _PATTERNS = [(kind, re.compile(pattern)) for kind, pattern in (
               r"|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\d)"),
     ("person", rf"(?<!\w)(?P<title>{_TITLES})\.?[ \u00a0](?P<value>{_NAME}(?: {_NAME}){{0,2}})"),
 )]
+_SEAM = re.compile(r"(['’-]+)")
+_RUN = re.compile(rf"{_NAME}(?: {_NAME}){{1,2}}")
+_POSSESSIVE = re.compile(r"['’][sS]$")
 #: Titles that no other title begins with.
 _ROOTS = [t for t in dict.fromkeys(MALE_TITLES + FEMALE_TITLES)
           if not any(t != other and t.startswith(other) for other in MALE_TITLES + FEMALE_TITLES)]
@@ -108,44 +121,100 @@ def _identity(kind: str, found: str) -> str | None:
     return found
 
 
+def _one_case(name: str) -> str:
+    """Names in capitals stand for the same as with one capital."""
+    return name.title() if len(name) > 1 and name.isupper() else name
+
+
+class _Spans:
+    """Spans of a text without overlaps."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def take(self, start: int, end: int) -> bool:
+        """Adds the span and says so, if it is free."""
+        at = bisect_right(self.starts, start)
+        if (at and self.ends[at - 1] > start) or (at < len(self.starts) and self.starts[at] < end):
+            return False
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+        return True
+
+
+def _named(whole: str, gender: str) -> list[tuple[str, int, int]]:
+    """Kind and span of each part of a name; the last is the surname."""
+    parts = [m.span() for m in re.finditer(r"\S+", whole)]
+    return [("surname" if end == len(whole) else f"given_{gender}", start, end) for start, end in parts]
+
+
+def _following(text: str, wholes: dict[str, str], parts: dict[str, str]) -> Iterator[tuple[str, int, int]]:
+    """Kind and span wherever whole names (to their gender) or their parts (to their kind) stand as words of their own."""
+    # a word with as many seams as a name has, not the whole of a long chain; its heads may be names
+    seams = max((len(_SEAM.findall(part)) for part in parts), default=0)
+    words = re.compile(rf"(?<!\w)\w+(?:['’-]+\w+){{0,{seams}}}")
+    at = 0
+    while parts and (word := words.search(text, at)):
+        start, pieces = word.start(), _SEAM.split(word[0])
+        at = start + len(pieces[0])
+        heads = ("".join(pieces[:n]) for n in range(len(pieces), 0, -2))
+        head = next((h for h in heads if _one_case(h) in parts), None)
+        if head is None:
+            continue
+        run = _RUN.match(text, start)
+        names = run[0].split(" ") if run else []
+        for size in (3, 2):
+            whole = _POSSESSIVE.sub("", " ".join(names[:size]))
+            gender = wholes.get(" ".join(map(_one_case, whole.split(" ")))) if len(names) >= size else None
+            if gender:
+                yield from ((kind, start + a, start + b) for kind, a, b in _named(whole, gender))
+                at = start + len(whole)
+                break
+        else:
+            yield parts[_one_case(head)], start, start + len(head)
+            at = start + len(head)
+
+
 def mentions(text: str | None) -> list[Mention]:
     """Entities in reading order, without overlaps; where kinds overlap the first of the list of patterns wins.
 
-    A name is found behind a title, which tells its gender, and from then on
-    wherever the whole name stands in the text. Its parts are entities of their
-    own, so a surname alone is replaced as it is in the full name.
+    A name is found behind a title, which tells its gender, and is followed
+    through its text, before the title and after it: the whole name and each
+    part of it, wherever they stand as words of their own, in capitals and with
+    a possessive too. Parts are entities of their own, so a surname alone is
+    replaced as it is in the full name; a part that stands in two names of a
+    text is what it is in the first. A word that is spelled like a name of its
+    text is taken for it. Not found are names that never follow a title, postal
+    addresses, national identity numbers, IPv6 addresses, and phone numbers in
+    other groupings than those of the pattern.
     """
     if not text:
         return []
     taken: list[Mention] = []
-    covered: list[tuple[int, int]] = []
-
-    def free(start: int, end: int) -> bool:
-        return all(end <= a or b <= start for a, b in covered)
-
+    covered = _Spans()
+    wholes: dict[str, str] = {}
+    parts: dict[str, str] = {}
     for kind, pattern in _PATTERNS:
         for match in pattern.finditer(text):
             start, end = match.span("value")
-            value = _identity(kind, match["value"])
-            if value is None or not free(start, end):
-                continue
             if kind != "person":
-                covered.append((start, end))
-                taken.append(Mention(kind, value, start, end))
+                value = _identity(kind, match["value"])
+                if value is not None and covered.take(start, end):
+                    taken.append(Mention(kind, value, start, end))
+                continue
+            whole = _POSSESSIVE.sub("", match["value"])
+            if not covered.take(start, start + len(whole)):
                 continue
             gender = "m" if match["title"] in MALE_TITLES else "f"
-            whole = match["value"]
-            places = [start]
-            if " " in whole:
-                places += [m.start() for m in re.finditer(rf"(?<!\w){re.escape(whole)}(?!\w)", text)]
-            for place in dict.fromkeys(places):
-                if not free(place, place + len(whole)):
-                    continue
-                covered.append((place, place + len(whole)))
-                parts = list(re.finditer(r"\S+", whole))
-                for number, part in enumerate(parts):
-                    name = "surname" if number == len(parts) - 1 else f"given_{gender}"
-                    taken.append(Mention(name, part[0], place + part.start(), place + part.end()))
+            for name, a, b in _named(whole, gender):
+                part = _one_case(whole[a:b])
+                taken.append(Mention(name, part, start + a, start + b))
+                parts.setdefault(part, name)
+            wholes.setdefault(" ".join(map(_one_case, whole.split(" "))), gender)
+    for kind, start, end in _following(text, wholes, parts):
+        if covered.take(start, end):
+            taken.append(Mention(kind, _one_case(text[start:end]), start, end))
     return sorted(taken, key=lambda m: m.start)
 
 
@@ -223,8 +292,27 @@ def numbered(kind: str, value: str, number: int) -> str | None:
     return None if count.number else found
 
 
+def _built(script: str, stream: _Stream, attempt: int) -> str:
+    """A beginning of a name, two syllables and one more for every eight attempts, so that names cannot run out."""
+    consonants, vowels = SOUNDS[script]
+    return "".join(consonants[stream.below(len(consonants))] + vowels[stream.below(len(vowels))]
+                   for _ in range(2 + attempt // 8)).capitalize()
+
+
+def _surname(part: str, script: str, stream: _Stream, attempt: int) -> str:
+    """A surname with the ending of the old one, which can tell gender and language, else one that ends in a consonant."""
+    consonants = SOUNDS[script][0]
+    ending = next((e for e in SURNAME_ENDINGS if len(e) < len(part) and part.endswith(e)), "")
+    last = "ς" if script == "greek" and not ending else consonants[stream.below(len(consonants))]
+    return _built(script, stream, attempt) + last + ending
+
+
 def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
-    """A stand-in for an entity: the same for the same key and attempt, of the same kind and form."""
+    """A stand-in for an entity: the same for the same key and attempt, of the same kind and form.
+
+    Given names beyond the lists are built of syllables of their script with an
+    ending of their gender; surnames keep an ending that they are known by.
+    """
     stream = _Stream(key, kind, value, attempt)
     if kind == "email":
         local, _, domain = value.rpartition("@")
@@ -237,10 +325,14 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
     if kind == "secret" and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value):
         digits = "0123456789abcdef" if value == value.lower() else "0123456789ABCDEF"
         return "".join(digits[stream.below(16)] for _ in value)
-    if kind.startswith("given_"):
-        listed = GIVEN.get((kind[-1], _script(value)))
-        if listed and not attempt:
+    script = _script(value)
+    if kind.startswith("given_") and script in SOUNDS:
+        listed, endings = GIVEN[kind[-1], script], ENDINGS[kind[-1], script]
+        if not attempt:
             return listed[stream.below(len(listed))]
+        return _built(script, stream, attempt) + endings[stream.below(len(endings))]
+    if kind == "surname" and script in SOUNDS:
+        return "-".join(_surname(part, script, stream, attempt) for part in value.split("-"))
     return _shaped(value, stream) + "".join(chr(97 + stream.below(26)) for _ in range(attempt // 4))
 
 
@@ -254,7 +346,7 @@ def _respelled(mention: Mention, found: str, stand_in: str) -> str:
         left = iter(stand_in)
         spelled = "".join(_spelled(c, next(left, "")) if c.isalnum() or c == "+" else c for c in found)
         return spelled + "".join(left)
-    if mention.kind == "email" and found.isupper():
+    if mention.kind in ("email", "surname", "given_m", "given_f") and len(found) > 1 and found.isupper():
         return stand_in.upper()
     return stand_in
 
