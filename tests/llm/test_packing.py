@@ -1,5 +1,6 @@
 import random
 import zlib
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -35,8 +36,52 @@ def test_the_plan_uses_every_piece_once_and_fits():
 def test_exact_complements_are_found():
     assert sum(t for _, t in packing.plan({7: 5, 3: 5, 6: 2, 2: 4}, 10)) == 7
     assert packing.plan({}, 10) == []
-    assert packing._exact(np.array([0, 0, 1, 2, 0, 0, 0, 0, 0]), 8, 3) == (3, 3, 2)
-    assert packing._exact(np.array([0, 0, 0, 1, 0, 0]), 6, 2) is None
+    assert packing.plan({12: 1, 3: 2, 2: 1}, 20) == [((12, 3, 3, 2), 1)]
+    # a count of one does not pair with itself
+    assert packing.plan({14: 1, 3: 1}, 20) == [((14, 3), 1)]
+
+
+def test_the_index_holds_every_sum_of_up_to_three_lengths():
+    rng = random.Random(5)
+    for _ in range(30):
+        capacity = rng.randint(4, 40)
+        left = np.zeros(capacity + 1, np.int64)
+        for _ in range(rng.randint(1, 12)):
+            left[rng.randint(1, capacity)] = rng.randint(1, 3)
+        lengths = [n for n in range(1, capacity + 1) for _ in range(left[n])]
+        sums = packing.Sums(left, capacity)
+        for gap in range(1, capacity):
+            expected = {tuple(sorted(some)) for size in (1, 2, 3) for some in combinations(lengths, size) if sum(some) == gap}
+            found = {tuple(sorted(some)) for some in sums.filling(gap)}
+            assert expected <= found
+            assert all(sum(some) == gap and left[list(some)].all() for some in found)
+
+
+def test_counts_that_fall_take_sums_away():
+    left = np.array([0, 1, 2, 1, 0, 0, 0, 0])
+    sums = packing.Sums(left, 7)
+    found = sums.filling(5)
+    assert next(found) == (3, 2)
+    left[3] = 0
+    assert list(found) == [(2, 2, 1)]
+    left[2] = 1
+    assert list(sums.filling(4)) == [] and 4 not in sums.pairs
+
+
+def test_ids_of_random_texts_are_the_tokenizers():
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(6)
+    signs = ["a", "E", "the", "ing", "'s", "'LL", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\u00a0", "\u3000", "\u200b", "7", "42", ".",
+             "--", "é", "e\u0301", "ß", "Ж", "漢字", "한", "ع", "😀", "👩\u200d🚀", "\ufffd", "\x00", "<|endoftext|>", "_", "x" * 40, "½", "Ⅷ"]
+    for _ in range(3000):
+        text = "".join(rng.choice(signs) for _ in range(rng.randint(0, 25)))
+        assert packing.encoder(packing.TOKENIZER).ids(text).tolist() == model.encode(text, add_special_tokens=False).ids
+
+
+def test_an_encoder_keeps_short_chunks_only():
+    encode = packing.Encoder()
+    encode.ids("a b " + "c" * 500 + " d")
+    assert sorted(encode) == ["b", "d"]
 
 
 def test_pieces_and_places(documents):
@@ -62,5 +107,16 @@ def test_pieces_and_places(documents):
     assert found["sequence_id"].nunique() <= -(-found["length"].sum() // 2048) + 2
 
 
+def test_slots_do_not_change_the_packing(documents):
+    rows = [(i, prose(i % 7, 20 + i % 5)) for i in range(200)]
+    one, many = (packing.pack(documents(rows), rows_per_slot=size).toPandas() for size in (65_536, 3))
+    for found in (one, many):
+        placed = found.sort_values(["sequence_id", "offset"])
+        assert len(found) == 200
+        assert (placed["offset"] == placed.groupby("sequence_id")["length"].cumsum() - placed["length"]).all()
+        assert placed.groupby("sequence_id")["length"].sum().max() <= 2048
+    assert one["sequence_id"].nunique() == many["sequence_id"].nunique()
+
+
 def test_an_empty_table(documents):
     assert packing.pack(documents([])).count() == 0

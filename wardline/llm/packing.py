@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,9 +15,11 @@ from wardline.session import materialize
 CAPACITY = 2048
 END = 0
 TOKENIZER = "byte_bpe_50k"
-#: Groups into which the pieces of one length are dealt to be numbered.
-SLOTS = 256
+#: Pieces of one length that are numbered in one group, about.
+ROWS_PER_SLOT = 65_536
+#: Chunks that an encoder remembers, and the longest of them in characters.
 _CACHED = 200_000
+_LONGEST = 32
 
 
 class _Ragged(Exception):
@@ -29,7 +32,8 @@ class Encoder(dict):
     The tokenizer's pattern never joins what single spaces part: a space goes
     to the word behind it. So the ids of a text are those of its chunks, each
     with its space, unless a chunk starts or ends with white space itself; such
-    texts are encoded whole. At most `_CACHED` chunks are kept.
+    texts are encoded whole. At most `_CACHED` chunks of at most `_LONGEST`
+    characters are kept, so memory is bounded whatever the texts hold.
     """
 
     def __init__(self, name: str = TOKENIZER):
@@ -47,9 +51,11 @@ class Encoder(dict):
     def __missing__(self, chunk: str) -> bytes:
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Ragged
-        if len(self) >= _CACHED:
-            self.clear()
-        ids = self[chunk] = np.array(self.model.encode_ordinary(" " + chunk), "<u4").tobytes()
+        ids = np.array(self.model.encode_ordinary(" " + chunk), "<u4").tobytes()
+        if len(chunk) <= _LONGEST:
+            if len(self) >= _CACHED:
+                self.clear()
+            self[chunk] = ids
         return ids
 
     def ids(self, text: str | None) -> np.ndarray:
@@ -108,56 +114,80 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
     """Sequences as (lengths, how many of the kind), using up `counts`, a number of pieces by length.
 
     From the longest on, a length's gap is filled exactly by one, two or three
-    available lengths, found by their sums, as often as the rarest allows. What
+    available lengths, found in an index of their sums, as often as the rarest allows. What
     no combination completes is placed by best fit, again a length at a time.
     The work depends on `capacity` alone, not on the number of pieces.
     """
     left = np.zeros(capacity + 1, np.int64)
     for length, count in counts.items():
         left[length] = count
+    sums = Sums(left, capacity)
     made: list[tuple[tuple[int, ...], int]] = []
-
-    def take(lengths: tuple[int, ...]) -> None:
-        need = {length: lengths.count(length) for length in lengths}
-        times = min(int(left[length]) // uses for length, uses in need.items())
-        for length, uses in need.items():
-            left[length] -= times * uses
-        made.append((lengths, times))
-
-    for longest in range(capacity, 0, -1):
-        for others in (0, 1, 2, 3):
-            while left[longest]:
-                left[longest] -= 1
-                fill = _exact(left, capacity - longest, others)
-                left[longest] += 1
-                if fill is None:
-                    break
-                take((longest, *fill))
+    for longest in np.flatnonzero(left)[::-1].tolist():
+        for others in sums.filling(capacity - longest):
+            need = Counter((longest, *others))
+            times = min(int(left[length]) // uses for length, uses in need.items())
+            if times:
+                made.append(((longest, *others), times))
+                for length, uses in need.items():
+                    left[length] -= times * uses
+            if not left[longest]:
+                break
     _best_fit(left, capacity, made)
     return made
 
 
-def _exact(left: np.ndarray, gap: int, others: int) -> tuple[int, ...] | None:
-    """`others` available lengths that add up to `gap`, the greatest first; None if there are none."""
-    if others == 0:
-        return () if gap == 0 else None
-    if gap < others:
-        return None
-    if others == 1:
-        return (gap,) if left[gap] else None
-    if others == 2:
-        most = np.arange(gap - 1, (gap - 1) // 2, -1)
-        fits = (left[most] > 0) & (left[gap - most] > (most == gap - most))
-        return (int(most[fits.argmax()]), int(gap - most[fits.argmax()])) if fits.any() else None
-    for most in np.flatnonzero(left[:gap - 1])[::-1]:
-        if 3 * most < gap:
-            return None
-        left[most] -= 1
-        rest = _exact(left, gap - int(most), 2)
-        left[most] += 1
-        if rest is not None:
-            return (int(most), *rest)
-    return None
+class Sums:
+    """Hash index from sums to the available lengths, one, two or three, that add up to them.
+
+    A length is its own sum. `pairs` has the greater length of each pair, the
+    other being the rest of the sum; `triples` the greatest length of each
+    triple, the rest of whose sum is looked up in `pairs`. Counts in `left` only
+    fall, so pairs that have become impossible are dropped when they are met.
+    The index takes two numbers for every two lengths that occur, at most the
+    square of the capacity.
+    """
+
+    def __init__(self, left: np.ndarray, capacity: int):
+        self.left = left
+        lengths = np.flatnonzero(left)[::-1]
+        self.pairs: dict[int, np.ndarray] = {}
+        self.triples: dict[int, np.ndarray] = {}
+        paired = np.zeros(capacity + 1, bool)
+        for total in range(2, capacity):
+            self._keep(total, lengths[(2 * lengths >= total) & (lengths < total)])
+            paired[total] = total in self.pairs
+        for total in range(3, capacity):
+            greatest = lengths[(3 * lengths >= total) & (lengths < total)]
+            self.triples[total] = greatest[paired[total - greatest]]
+
+    def _keep(self, total: int, greater: np.ndarray) -> np.ndarray:
+        """Those of `greater` that still form a pair with the rest of `total`; they are the entry from now on."""
+        rest = total - greater
+        found = greater[(self.left[rest] > 0) & (self.left[greater] > (greater == rest))]
+        if len(found):
+            self.pairs[total] = found
+        else:
+            self.pairs.pop(total, None)
+        return found
+
+    def _two(self, total: int) -> Iterator[tuple[int, int]]:
+        if total in self.pairs:
+            for greater in self._keep(total, self.pairs[total]).tolist():
+                yield greater, total - greater
+
+    def filling(self, gap: int) -> Iterator[tuple[int, ...]]:
+        """Combinations that add up to `gap`, fewest lengths first, then the longest; counts may fall in between."""
+        if gap == 0:
+            yield ()
+            return
+        if self.left[gap]:
+            yield (gap,)
+        yield from self._two(gap)
+        for greatest in self.triples.get(gap, np.empty(0, np.int64)).tolist():
+            if self.left[greatest]:
+                for pair in self._two(gap - greatest):
+                    yield greatest, *pair
 
 
 def _best_fit(left: np.ndarray, capacity: int, made: list[tuple[tuple[int, ...], int]]) -> None:
@@ -206,28 +236,38 @@ def places(made: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]:
 
 
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", *, tokenizer: str = TOKENIZER,
-         capacity: int = CAPACITY, slots: int = SLOTS) -> DataFrame:
+         capacity: int = CAPACITY, rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
     """The pieces of every document with `sequence_id` and `offset`.
 
-    Only counts by length reach the driver, at most `capacity` times `slots`
-    rows, whatever the number of documents; so does the plan made from them.
+    Only counts reach the driver, one for each length and for every
+    `rows_per_slot` pieces of it; so does the plan made from the counts by length.
     Full pieces are sequences of their own (negative ids). The others are
-    numbered by length in `slots` groups each, so a length that a third of all
-    documents have is no task's alone, and look their place up by number.
-    Repeated rows and keys are packed as often as they occur; null keys too.
-    Empty tables give no rows. Other columns of `docs` are not read.
+    numbered by length, in groups of about `rows_per_slot` pieces, so a length
+    that a third of all documents have is no task's alone, and look their place
+    up by number. Repeated rows and keys are packed as often as they occur; null
+    keys too. Empty tables give no rows. Other columns of `docs` are not read.
     """
     cut = materialize(pieces(docs, key, text, tokenizer=tokenizer, capacity=capacity), "pieces")
     order = [key, "piece", "ids_crc32"]
     whole = (cut.where(F.col("length") == capacity)
              .withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long")))
-    dealt = (cut.where(F.col("length") < capacity)
-             .withColumn("slot", F.pmod(F.xxhash64(*order, F.col("length")), F.lit(slots)).cast("int")))
-    found = dealt.groupBy("length", "slot").count().toPandas()
-    table = np.zeros((capacity + 1, slots), np.int64)
-    table[found["length"].to_numpy(np.int64), found["slot"].to_numpy(np.int64)] = found["count"].to_numpy(np.int64)
-    ahead = table.cumsum(axis=1) - table
-    totals = table.sum(axis=1)
+    shorter = cut.where(F.col("length") < capacity)
+    totals = np.zeros(capacity + 1, np.int64)
+    for length, count in shorter.groupBy("length").count().collect():
+        totals[length] = count
+    slots = -(-totals // rows_per_slot)
+    first_slot = slots.cumsum() - slots
+    # at most one row for each length below the capacity, so it may be broadcast
+    widths = cut.sparkSession.createDataFrame(
+        [(int(n), int(slots[n]), int(first_slot[n])) for n in totals.nonzero()[0]], "length long, slots int, first_slot long")
+    hashed = F.pmod(F.xxhash64(*order, "length"), F.col("slots"))
+    dealt = (shorter.join(F.broadcast(widths), "length")
+             .select(*cut.columns, (F.col("first_slot") + hashed).alias("slot")))
+    in_slot = np.zeros(int(slots.sum()), np.int64)
+    for slot, count in dealt.groupBy("slot").count().collect():
+        in_slot[slot] = count
+    ahead = in_slot.cumsum() - in_slot
+    ahead -= np.repeat(totals.cumsum() - totals, slots)
     runs = places(plan({int(n): int(totals[n]) for n in totals.nonzero()[0]}, capacity))
     wide = int(totals.max()) + 1
     starts = runs["length"] * wide + runs["number"]
@@ -235,7 +275,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", *, tokenizer:
     def placed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             length, slot = batch["length"].to_numpy(np.int64), batch.pop("slot").to_numpy(np.int64)
-            number = ahead[length, slot] + batch.pop("number").to_numpy(np.int64)
+            number = ahead[slot] + batch.pop("number").to_numpy(np.int64)
             run = np.searchsorted(starts, length * wide + number, "right") - 1
             turn, within = np.divmod(number - runs["number"][run], runs["each"][run])
             batch["sequence_id"] = runs["sequence"][run] + turn
@@ -243,7 +283,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", *, tokenizer:
             yield batch
 
     numbered = dealt.withColumn(
-        "number", F.row_number().over(W.partitionBy("length", "slot").orderBy(*order)).cast("long") - 1)
+        "number", F.row_number().over(W.partitionBy("slot").orderBy(*order)).cast("long") - 1)
     kind = docs.schema[key].dataType.simpleString()
     names = ["piece", "start", "length", "ids_crc32"]
     rest = (numbered.select(F.col(key).cast("string").alias("key"), *names, "slot", "number")
