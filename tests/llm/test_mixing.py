@@ -46,6 +46,28 @@ def test_any_stretch_of_the_schedule_is_near_the_shares(spark):
         assert abs(stretch[0] - 1 / 2) < 0.02 and abs(stretch[1] - 1 / 6) < 0.02
 
 
+def test_many_sources_get_what_a_plain_schedule_gives(spark):
+    takes = [(i * 37) % 900 + (i % 5 == 0) * 4000 for i in range(700)]
+    found = {(r["slot"], r["source_no"], r["rank"]) for r in mixing.slots(spark, takes, 50, piece=1000).collect()}
+    needed, total = [-(-words // 50) for words in takes], sum(takes)
+    ends = [sum(takes[:i + 1]) for i in range(len(takes))]
+    expected, drawn = set(), [0] * len(takes)
+    for slot in range(sum(needed)):
+        point = slot * mixing.GOLDEN % (1 << 64)
+        source = next(i for i, end in enumerate(ends) if point < (end << 64) // total or i == len(takes) - 1)
+        if drawn[source] < needed[source]:
+            expected.add((slot, source, drawn[source]))
+        drawn[source] += 1
+    late = [(source, rank) for source, most in enumerate(needed) for rank in range(drawn[source], most)]
+    expected |= {(sum(needed) + i, *one) for i, one in enumerate(late)}
+    assert found == expected
+
+
+def test_a_source_of_each_document_meets_its_target(documents):
+    found = mixing.taken(mixing.mix(documents([(i, prose(i, 1 + i % 9), f"host{i:04}") for i in range(600)]), block=4)).toPandas()
+    assert len(found) == 600 and (found["taken"] == found["target"].astype(int)).all()
+
+
 def test_mixed_documents_hold_the_taken_words(documents):
     docs = documents(rows(), extra=True)
     out = mixing.mixed_documents(docs, chars="n_chars", block=16)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from fractions import Fraction
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -71,7 +72,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     slot of a source reads the n-th block of its stream. So any stretch of the
     schedule holds the sources near their shares. Slots past a source's target
     are left out, missing ones are added at the end: exactly the target, in
-    whole words, is taken. Only one row per source reaches the driver.
+    whole words, is taken. One row per source reaches the driver, with its
+    name and sums; no task handles sources beyond those of its own slots.
 
     Rows without words and null texts have size 0 and are never taken. A null
     source is a source. Repeated rows and keys are rows of their own; null keys
@@ -93,7 +95,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
     # where each row starts in its source's stream: sums of whole buckets, then sums within a bucket
     hashed = F.xxhash64(F.lit(seed), F.col(key), F.col("mix_size"))
-    rows = (all_sized.join(F.broadcast(about), all_sized["mix_source"].eqNullSafe(about["mix_source"]))
+    rows = (all_sized.join(about, all_sized["mix_source"].eqNullSafe(about["mix_source"]))
             .select(F.col(key).alias("wl_key"), about["mix_source"], "mix_size", "source_no", "source_size", "target", "takes",
                     hashed.alias("h")).withColumn("bucket", F.floor((F.col("h") / 2.0 ** 64 + 0.5) * buckets)))
     before = F.sum("inside").over(W.partitionBy("source_no").orderBy("bucket")) - F.col("inside")
@@ -130,28 +132,31 @@ def slots(spark, takes: list[int], block: int = BLOCK, piece: int = SLOTS_PER_PI
     if not total:
         return spark.createDataFrame([], schema)
     count = sum(needed)
-    edges = np.array([min((sum(takes[:i]) << 64) // total, (1 << 64) - 1) for i in range(1, len(takes))], np.uint64)
+    cumulated = accumulate(takes)
+    edges = np.array([min((words << 64) // total, (1 << 64) - 1) for words in cumulated][:-1], np.uint64)
+    shared = spark.sparkContext.broadcast((edges, np.array(needed, np.int64)))
 
     def sources(first: int) -> np.ndarray:
         points = np.arange(first, min(first + piece, count), dtype=np.uint64) * np.uint64(GOLDEN)
-        return np.searchsorted(edges, points, "right")
+        return np.searchsorted(shared.value[0], points, "right")
 
     def counted(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for number in batch["id"]:
-                found = np.bincount(sources(number * piece), minlength=len(takes))
-                yield pd.DataFrame({"piece": number, "source_no": np.arange(len(takes), dtype=np.int32), "n": found})
+                found, times = np.unique(sources(number * piece), return_counts=True)
+                yield pd.DataFrame({"piece": number, "source_no": found.astype(np.int32), "n": times})
 
     def laid(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for number, ahead in zip(batch["piece"], batch["ahead"]):
                 found = sources(number * piece)
+                # `ahead` has the piece's sources in order, so the slots sorted by source fall into its runs
+                order = np.argsort(found, kind="stable")
+                runs = np.flatnonzero(np.diff(found[order], prepend=-1))
+                sizes = np.diff(runs, append=len(order))
                 rank = np.empty(len(found), np.int64)
-                for source, before in enumerate(ahead):
-                    own = np.flatnonzero(found == source)
-                    rank[own] = before + np.arange(len(own))
-                used = rank < np.array(needed)[found]
-                at = np.flatnonzero(used)
+                rank[order] = np.repeat(np.asarray(ahead, np.int64) - runs, sizes) + np.arange(len(order))
+                at = np.flatnonzero(rank < shared.value[1][found])
                 yield pd.DataFrame({"slot": number * piece + at, "source_no": found[at].astype(np.int32), "rank": rank[at]})
 
     pieces = spark.range(-(-count // piece))
