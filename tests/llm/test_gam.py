@@ -1,10 +1,12 @@
+import math
 import random
 import zlib
 
 import numpy as np
+import pytest
 
 from tests_llm_helpers import prose
-from wardline.llm import gam
+from wardline.llm import common, gam
 
 
 def sample(key):
@@ -57,6 +59,29 @@ def test_letters_and_capitals_equal_the_plain_definition_at_every_length():
     assert gam.features(short)[place] == gam.features(long)[place] == 1.0
 
 
+def plain_features(text):
+    words = text.split()
+    lines = [line for line in text.split("\n") if line.strip()]
+    signs = lambda some: sum(text.count(sign) for sign in some)
+    return [math.log1p(len(words)), sum(map(len, words)) / len(words), signs("#*$%&|<>") / len(words),
+            sum(map(str.isupper, text)) / max(sum(map(str.isalpha, text)), 1), 1 - len(set(lines)) / max(len(lines), 1),
+            len(set(words)) / len(words), sum(a == b for a, b in zip(words, words[1:])) / len(words), signs("!") / len(words),
+            signs("|") / len(words), signs("0123456789") / len(text), signs(".,;:!?") / len(words), len(words) / max(len(lines), 1),
+            sum(len(w) <= 2 for w in words) / len(words), sum(len(w) >= 12 for w in words) / len(words),
+            max(map(words.count, words)) / len(words), signs(".?") / max(len(lines), 1)]
+
+
+@pytest.mark.parametrize("most", [1, 9, 400_000])
+def test_features_equal_the_plain_definition(monkeypatch, most):
+    monkeypatch.setattr(gam, "slices", lambda text: common.slices(text, most))
+    monkeypatch.setattr(gam, "SLICE", most)
+    rng = random.Random(most)
+    parts = ["a", "Bc ", "a a ", "\n", " \n", "Über ", "漢字。", "\u3000", "\x1c", "12|", "! ", "extraordinarily ", "x. ", "?", "\t"]
+    for _ in range(60):
+        text = "q" + "".join(rng.choice(parts) for _ in range(rng.randint(0, 60)))
+        assert gam.features(text) == pytest.approx(plain_features(text), abs=1e-12)
+
+
 def test_nulls_empty_texts_and_no_labels(spark, documents):
     assert gam.features(None) == gam.features("") == gam.features(" \n") == [0.0] * len(gam.FEATURES)
     docs = documents([(1, None), (None, ""), (2, "a word " * 30_000), (2, "x")])

@@ -1,10 +1,11 @@
+import random
 import re
 
 import numpy as np
 import pytest
 
 from tests_llm_helpers import prose
-from wardline.llm import ngram_rules as rules
+from wardline.llm import common, ngram_rules as rules
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 
@@ -27,6 +28,20 @@ def test_counts_equal_the_plain_definition(text):
     assert rules.text_counts(text) == plain(text)
 
 
+@pytest.mark.parametrize("most", [1, 7, 50])
+def test_slices_change_nothing(monkeypatch, most):
+    rng = random.Random(most)
+    for _ in range(40):
+        text = "".join(rng.choice(["a", "bc", "é", " ", "  ", "\n", "a b c ", "x!! ", "?! ", "\x85", "\r\n"]) for _ in range(rng.randint(0, 80)))
+        texts = [text, None, text[::-1], ""]
+        whole = sorted(zip(*map(np.ndarray.tolist, [np.concatenate(a) for a in zip(*rules._grams(texts, 999, 10_000))])))
+        parts = sorted(zip(*map(np.ndarray.tolist, [np.concatenate(a) for a in zip(*rules._grams(texts, 999, most))])))
+        assert whole == parts
+        with monkeypatch.context() as patched:
+            patched.setattr(rules, "slices", lambda t: common.slices(t, most))
+            assert rules.text_counts(text) == plain(text)
+
+
 def corpus():
     rows = [(k, prose(k, 70)) for k in range(60)]
     rows += [(100 + k, " ".join(w.upper() + "!!" for w in prose(k, 70).split())) for k in range(20)]
@@ -50,7 +65,7 @@ def test_counts_of_all_tasks_are_added(spark, documents):
     ratios = [rules.log_ratios(documents(rows).repartition(n), trusted, buckets=64) for n in (1, 7)]
     assert np.allclose(*ratios)
     texts = [t for _, t in rows]
-    grams, owner = rules._grams(texts, 64)
+    [(grams, owner)] = rules._grams(texts, 64)
     every = np.bincount(grams, minlength=64)
     own = np.bincount(grams[np.isin(owner, [i for i, (k, _) in enumerate(rows) if k is not None and k < 40])], minlength=64)
     assert np.allclose(ratios[0], np.log((own + 5) / (every * own.sum() / every.sum() + 5)))
@@ -67,7 +82,7 @@ def test_words_are_parted_by_the_same_signs_as_in_the_counts():
     whole = ["a\xa0b\x85c\x1cd\u3000e", "\u2028"]
     for word in whole:
         assert rules.text_counts(word)[0] == 1
-        grams, owner = rules._grams([word], 1 << 20)
+        [(grams, owner)] = rules._grams([word], 1 << 20)
         assert len(grams) == len(owner) == 1
     grams, _ = rules._grams(["a\tb\x0bc\r\nd"], 1 << 20)
     assert len(grams) == 4 + 3

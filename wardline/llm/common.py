@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -9,6 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Characters of a text that are taken apart at a time.
+SLICE = 400_000
+_BREAK = re.compile(r"[\x20\x09-\x0D]")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +37,24 @@ def words(data: bytes) -> list[bytes]:
     return data.split()
 
 
+def slices(text: str | None, most: int = SLICE) -> Iterator[str]:
+    """The whole text in parts that end behind the first white space from `most` characters on, so no word is cut.
+
+    A word longer than `most` is in one part; a null or empty text has no parts.
+    """
+    start, size = 0, len(text or "")
+    while start < size:
+        found = _BREAK.search(text, start + most - 1) if size - start > most else None
+        end = found.end() if found else size
+        yield text if end - start == size else text[start:end]
+        start = end
+
+
+def lines(text: str | None) -> Iterator[str]:
+    """The lines of a text that are not empty, one at a time."""
+    return (found.group() for found in re.finditer(r"[^\n]+", text or ""))
+
+
 def held_out(doc_id: Column) -> Column:
     """A fixed quarter of the documents whose labels are never learnt from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from wardline.llm.common import bounded_sample, held_out, known_labels
+from wardline.llm.common import SLICE, bounded_sample, held_out, known_labels, lines, slices
 
 FEATURES = ("log_words", "word_length", "symbol_rate", "upper_share", "copied_lines", "distinct_share", "same_as_last",
             "exclamation_rate", "pipe_rate", "digit_share", "mark_rate", "words_per_line", "short_words", "long_words",
@@ -29,25 +29,34 @@ _MARKS = ".,;:!?"
 
 
 def features(text: str | None) -> list[float]:
-    """Numbers that describe a text; all zero without words. Only the text itself is looked at."""
-    found = (text or "").split()
-    count = len(found)
+    """Numbers that describe a whole text; all zero without words. Only the text itself is looked at, a slice at a time."""
+    counts: dict[str, int] = {}
+    count = size = short = long = same = 0
+    last = None
+    for part in slices(text):
+        found = part.split()
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        count, size = count + len(found), size + int(lengths.sum())
+        short, long = short + int((lengths <= 2).sum()), long + int((lengths >= 12).sum())
+        for word in found:
+            counts[word] = counts.get(word, 0) + 1
+            same += word == last
+            last = word
     if not count:
         return [0.0] * len(FEATURES)
-    lengths = np.fromiter(map(len, found), np.int64, count)
-    lines = [line for line in text.split("\n") if line and not line.isspace()]
+    full, different = 0, set()
+    for line in lines(text):
+        if not line.isspace():
+            full += 1
+            different.add(line)
     letters, upper = _letters(text)
     digits = sum(map(text.count, "0123456789"))
-    counts: dict[str, int] = {}
-    for word in found:
-        counts[word] = counts.get(word, 0) + 1
-    same = sum(a == b for a, b in zip(found, found[1:]))
     return [
-        float(np.log1p(count)), float(lengths.mean()), sum(map(text.count, _SYMBOLS)) / count, upper / max(letters, 1),
-        1 - len(set(lines)) / max(len(lines), 1), len(counts) / count, same / count, text.count("!") / count,
-        text.count("|") / count, digits / len(text), sum(map(text.count, _MARKS)) / count, count / max(len(lines), 1),
-        float((lengths <= 2).mean()), float((lengths >= 12).mean()), max(counts.values()) / count,
-        sum(text.count(mark) for mark in ".?") / max(len(lines), 1),
+        float(np.log1p(count)), size / count, sum(map(text.count, _SYMBOLS)) / count, upper / max(letters, 1),
+        1 - len(different) / max(full, 1), len(counts) / count, same / count, text.count("!") / count,
+        text.count("|") / count, digits / len(text), sum(map(text.count, _MARKS)) / count, count / max(full, 1),
+        short / count, long / count, max(counts.values()) / count,
+        sum(text.count(mark) for mark in ".?") / max(full, 1),
     ]
 
 
@@ -60,7 +69,10 @@ def _classes() -> np.ndarray:
 
 def _letters(text: str) -> tuple[int, int]:
     """Letters, and upper-case signs, of a text of any length and script."""
-    found = np.bincount(_classes()[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)], minlength=4)
+    found = np.zeros(4, np.int64)
+    for start in range(0, len(text), SLICE):
+        signs = np.frombuffer(text[start:start + SLICE].encode("utf-32-le", "replace"), np.uint32)
+        found += np.bincount(_classes()[signs], minlength=4)
     return int(found[1] + found[3]), int(found[2] + found[3])
 
 
