@@ -84,5 +84,5 @@ def test_words_are_parted_by_the_same_signs_as_in_the_counts():
         assert rules.text_counts(word)[0] == 1
         [(grams, owner)] = rules._grams([word], 1 << 20)
         assert len(grams) == len(owner) == 1
-    grams, _ = rules._grams(["a\tb\x0bc\r\nd"], 1 << 20)
+    [(grams, _)] = rules._grams(["a\tb\x0bc\r\nd"], 1 << 20)
     assert len(grams) == 4 + 3
