@@ -41,30 +41,33 @@ def cluster(df: DataFrame, columns: Sequence[str], keys: Sequence[str], k: int =
             restarts: int = V.RESTARTS, seed: int = V.SEED, name: str = "cluster") -> DataFrame:
     """Add a K-Means cluster number, from the best of `restarts` fits on standardised columns.
 
-    Never more clusters than rows. Fits run on Spark, several at a time over one
-    cached copy of the points; only centres and costs come to the driver. The
-    input is written out once in key order, so that restarts do not recompute
-    it and a rerun draws the same starting points. Runs jobs.
+    Never more clusters than distinct points. Fits run on Spark, several at a time over one
+    cached table of the distinct points, each with the number of its rows as its
+    weight; counts and rounded means repeat, so it grows far less than the rows.
+    Only centres and costs come to the driver. The input is written out once,
+    and the points in their order, so that restarts do not recompute them and a
+    rerun draws the same starting points. Runs jobs.
     """
     source = materialize(df.repartition(*keys).sortWithinPartitions(*keys), "features")
-    k = len(source.select(keys[0]).take(k))
-    if k == 0:
-        return source.withColumn(name, F.lit(None).cast("int"))
-    if k == 1:
-        return source.withColumn(name, F.lit(0))
     scaled = [f"{c}_z" for c in columns]
-    vectors = VectorAssembler(inputCols=scaled, outputCol="_features").transform(standardize(source, columns))
-    points = vectors.drop(*scaled).persist()
+    assembler = VectorAssembler(inputCols=scaled, outputCol="_features")
+    rows = standardize(source, columns)
+    distinct = rows.groupBy(*scaled).agg(F.count("*").cast("double").alias("_weight"))
+    distinct = materialize(distinct.repartition(*scaled).sortWithinPartitions(*scaled), "points")
+    k = len(distinct.select("_weight").take(k))
+    if k < 2:
+        return source.withColumn(name, F.lit(0 if k else None).cast("int"))
+    points = assembler.transform(distinct).select("_features", "_weight").persist()
 
     def fit(offset: int) -> KMeansModel:
-        return KMeans(featuresCol="_features", predictionCol=name, k=k, seed=seed + offset,
+        return KMeans(featuresCol="_features", predictionCol=name, weightCol="_weight", k=k, seed=seed + offset,
                       maxIter=V.MAX_ITERATIONS, tol=math.sqrt(V.CENTRE_SHIFT / k)).fit(points)
 
     with ThreadPool(min(FITS_AT_ONCE, restarts)) as pool:
         models = pool.map(fit, range(restarts))
     points.unpersist()
     best = min(models, key=lambda model: model.summary.trainingCost)
-    return best.transform(points).drop("_features")
+    return best.transform(assembler.transform(rows)).drop("_features", *scaled)
 
 
 def label_clusters(df: DataFrame, by: str, labels: Sequence[str] = V.RISK_LEVELS, cluster_col: str = "cluster",
