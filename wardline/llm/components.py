@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from wardline.session import materialize
@@ -43,6 +45,18 @@ def components(links: DataFrame, first: str = "a", second: str = "b") -> DataFra
     return labels
 
 
+def joined_groups(groups: list[DataFrame], key: str = "doc_id") -> DataFrame:
+    """`key`, `component_id` (the least key) for every row of `groups` when rows that share a component in any are connected.
+
+    Each of `groups` has a long `key` and `component_id`, itself a key, for all
+    documents; rows repeat no more than in the first. Null keys are left out.
+    """
+    links = [g.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("a"), F.col("component_id").alias("b")) for g in groups]
+    labels = components(reduce(DataFrame.unionByName, links))
+    keys = groups[0].where(F.col(key).isNotNull()).select(key)
+    return keys.join(labels, keys[key] == labels["node"], "left").select(key, F.coalesce("label", key).alias("component_id"))
+
+
 def _directed(links: DataFrame, first: str, second: str) -> DataFrame:
     """Distinct links with the greater node as `a`, without self links."""
     return (links.where(F.col(first) != F.col(second))
