@@ -1,0 +1,42 @@
+"""The test tables as landed admissions: months and states cost a line little, and are those of the dates and nations."""
+
+import pytest
+from plans import plan_of
+from pyspark.sql import functions as F
+
+from wardline.functions.codes import state_abbrev
+from wardline.harness import adapter as A
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_lines_are_told_apart_by_month_without_formatting_dates(spark):
+    months = A.dropped_admissions(spark, SMALL).where(F.col("ano_mes").isin("199701", "199702")).select("ano_mes")
+    plan = plan_of(months).lower()
+    assert not [slow for slow in ("date_format", "gettimestamp", "split(") if slow in plan]
+
+
+def test_states_are_looked_up_once_for_a_supplier(spark):
+    plan = plan_of(A.admissions(spark, SMALL).select("N_AIH", "uf"))
+    join = plan.index("Join")
+    assert "keys: [" in plan[join:] and "keys: [" not in plan[:join]
+
+
+def test_months_are_those_of_the_dates(spark, rows):
+    month = F.date_format(F.date_sub(F.to_date("DT_SAIDA", "yyyyMMdd"), (F.col("DIAS_PERM") + 3).cast("int")), "yyyyMM")
+    landed = A.dropped_admissions(spark, SMALL)
+    assert landed.count() > 0
+    assert landed.where(~F.col("ano_mes").eqNullSafe(month)).count() == 0
+
+
+@pytest.mark.parametrize("day, compact, iso", [("1997-03-09", "19970309", "1997-03-09"), ("0999-12-31", "09991231", "0999-12-31"),
+                                               ("1000-01-01", "10000101", "1000-01-01"), (None, None, None)])
+def test_dates_are_spelled_as_a_formatter_does(spark, rows, day, compact, iso):
+    one = spark.createDataFrame([(day,)], "d string").select(F.col("d").cast("date").alias("d"))
+    assert rows(one, A._compact(F.col("d")), A._iso(F.col("d"))) == [(compact, iso)]
+    assert rows(one, F.date_format("d", "yyyyMMdd"), F.date_format("d", "yyyy-MM-dd")) == [(compact, iso)]
+
+
+def test_a_line_without_supplier_has_no_state(spark, rows):
+    nation = spark.createDataFrame([(None,), (23,), (24,), (99,)], "n int").select(state_abbrev(A._nation_code("n")))
+    assert rows(nation)[:3] == [(None,)] * 3

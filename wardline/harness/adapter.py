@@ -23,6 +23,8 @@ NO_STATE = "ZZ"
 # The nation whose municipality code no facility has, and that code without its check digit.
 APART, APART_CODE = 23, 990000
 
+NUMBER, MONTH = "_number", "_month"
+
 # The slice reports are run on.
 CASES = CaseSlice(("PROMO", "SMALL", "LARGE"), "SP", 1997, 1999)
 
@@ -50,16 +52,32 @@ def _day(column: str) -> Column:
     return F.col(column).cast("date")
 
 
+def _compact(day: Column) -> Column:
+    """`yyyyMMdd` of a date. A formatter takes longer for a row than reading it, so it is left the years without four digits."""
+    number = F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
+    return F.when(F.year(day).between(1000, 9999), number.cast("string")).otherwise(F.date_format(day, "yyyyMMdd"))
+
+
+def _iso(day: Column) -> Column:
+    return F.when(F.year(day).between(1000, 9999), day.cast("string")).otherwise(F.date_format(day, "yyyy-MM-dd"))
+
+
 def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze admissions with `uf`."""
+    return _admissions(spark, sf_dir).drop(NUMBER, MONTH)
+
+
+def _admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the id as a number, and the month of DT_SAIDA less the stay, that of the ship date if there is a quantity."""
     lines = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    # a line without a supplier has no state, like one of a nation without
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", state_abbrev(_nation_code("s_nationkey")).alias("uf"))
     joined = (lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
               .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left"))
     order, day = F.col("l_orderkey"), _day("l_shipdate")
-    admitted = (F.when(order % 10 < 6, F.date_format(day, "yyyy-MM-dd"))
-                .when(order % 10 < 9, F.date_format(day, "yyyyMMdd"))
+    admitted = (F.when(order % 10 < 6, _iso(day))
+                .when(order % 10 < 9, _compact(day))
                 .otherwise(F.date_format(day, "dd/MM/yyyy")))
     return joined.select(
         F.concat("l_orderkey", F.lit("-"), "l_linenumber").alias("N_AIH"),
@@ -67,7 +85,7 @@ def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_partkey") % 25 + 350000).alias("MUNIC_RES"),
         (F.col("l_suppkey") % 25 + 350000).alias("MUNIC_MOV"),
         admitted.alias("DT_INTER"),
-        F.date_format(F.date_add(day, F.col("l_quantity").cast("int")), "yyyyMMdd").alias("DT_SAIDA"),
+        _compact(F.date_add(day, F.col("l_quantity").cast("int"))).alias("DT_SAIDA"),
         F.col("p_type").alias("DIAG_PRINC"),
         F.col("l_partkey").cast("string").alias("PROC_REA"),
         F.when(order % 53 == 0, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")).alias("VAL_TOT"),
@@ -76,26 +94,31 @@ def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias("SEXO"),
         (F.col("l_linenumber") % 2).cast("bigint").alias("MORTE"),
         (F.col("l_suppkey") + F.when(order % 97 == 0, 1000).otherwise(0)).alias("CNES"),
-        state_abbrev(_nation_code("s_nationkey")).alias("uf"),
+        "uf",
+        (order * 10 + F.col("l_linenumber")).alias(NUMBER),
+        F.when(F.col("l_quantity").isNotNull(), F.year(day) * 100 + F.month(day)).alias(MONTH),
     )
 
 
 def dropped_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Admissions as they lie in landed folders: numeric ids, one folder per state and month."""
-    key = F.split("N_AIH", "-")
-    return admissions(spark, sf_dir).withColumns({
-        "N_AIH": key[0].cast("bigint") * 10 + key[1].cast("bigint"),
+    return _dropped_admissions(spark, sf_dir).drop(MONTH)
+
+
+def _dropped_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _admissions(spark, sf_dir).withColumns({
+        "N_AIH": F.col(NUMBER),
         "uf": F.coalesce("uf", F.lit(NO_STATE)),
-        "ano_mes": F.date_format(F.date_sub(F.to_date("DT_SAIDA", "yyyyMMdd"), (F.col("DIAS_PERM") + 3).cast("int")), "yyyyMM"),
-    })
+        "ano_mes": F.lpad(F.col(MONTH).cast("string"), 6, "0"),
+    }).drop(NUMBER)
 
 
 def write_drifting(spark: SparkSession, sf_dir: str, root: str, which: Column | None = None) -> None:
     """Write the landed folders, or those `which` holds for, with three sets of column types, by year."""
-    rows = dropped_admissions(spark, sf_dir)
+    rows = _dropped_admissions(spark, sf_dir)
     if which is not None:
         rows = rows.filter(which)
-    kind = F.left("ano_mes", F.lit(4)).cast("int") % 3
+    kind = F.expr(f"{MONTH} div 100 % 3")  # every layout looks for its rows in all lines
     layouts = (
         rows.withColumn("N_AIH", F.col("N_AIH").cast("string")),
         rows.drop("PROC_REA").withColumn("MUNIC_MOV", F.col("MUNIC_MOV").cast("int")),
@@ -103,7 +126,7 @@ def write_drifting(spark: SparkSession, sf_dir: str, root: str, which: Column |
                           "N_AIH": F.col("N_AIH").cast("string"), "EXTRA": F.lit(1)}),
     )
     for number, layout in enumerate(layouts):
-        (layout.filter(kind == number).hint("rebalance", F.col("uf"), F.col("ano_mes"))
+        (layout.filter(kind == number).drop(MONTH).hint("rebalance", F.col("uf"), F.col("ano_mes"))
          .write.mode("append").partitionBy("uf", "ano_mes").parquet(root))
 
 
