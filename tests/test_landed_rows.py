@@ -40,3 +40,30 @@ def test_dates_are_spelled_as_a_formatter_does(spark, rows, day, compact, iso):
 def test_a_line_without_supplier_has_no_state(spark, rows):
     nation = spark.createDataFrame([(None,), (23,), (24,), (99,)], "n int").select(state_abbrev(A._nation_code("n")))
     assert rows(nation)[:3] == [(None,)] * 3
+
+
+def test_lines_are_moved_before_they_are_spelled(spark):
+    moved = A._placed(A._joined(spark, SMALL)).hint("rebalance", F.col("uf"), F.col("ano_mes"))
+    plan = plan_of(A._numbered(moved))
+    spelled, line = plan.index("AS PROC_REA"), plan.index("REBALANCE_PARTITIONS_BY_COL")
+    assert spelled < line and "PROC_REA" not in plan[line:]
+
+
+def test_layouts_are_landed_at_the_same_time(spark, tmp_path, monkeypatch):
+    together, pool = [], A.ThreadPool
+    monkeypatch.setattr(A, "ThreadPool", lambda size: together.append(size) or pool(size))
+    A.write_drifting(spark, SMALL, f"file://{tmp_path}/landed")
+    assert together == [3]
+
+
+@pytest.mark.parametrize("late", ["10001-10-05", "9999-10-05"])
+def test_years_that_share_a_folder_lose_no_line(spark, tmp_path, late):
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").limit(60)
+    day = F.when(F.col("l_linenumber") % 2 == 0, F.lit("1000-10-05")).otherwise(F.lit(late))
+    changed = lines.withColumn("l_shipdate", day.cast("date").cast(lines.schema["l_shipdate"].dataType))
+    changed.write.parquet(f"{tmp_path}/tables/lineitem.parquet")
+    for name in ("part", "supplier"):
+        (tmp_path / "tables" / f"{name}.parquet").symlink_to(f"{SMALL}/{name}.parquet")
+    A.write_drifting(spark, f"{tmp_path}/tables", f"file://{tmp_path}/landed")
+    files = spark.read.schema("CNES long").option("recursiveFileLookup", True).parquet(f"file://{tmp_path}/landed")
+    assert files.count() == 60

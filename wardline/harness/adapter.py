@@ -7,6 +7,8 @@ municipalities, `part` the diagnosis. `oracle.py` repeats them in SQL.
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from wardline import vocabulary as V
@@ -23,7 +25,7 @@ NO_STATE = "ZZ"
 # The nation whose municipality code no facility has, and that code without its check digit.
 APART, APART_CODE = 23, 990000
 
-NUMBER, MONTH = "_number", "_month"
+NUMBER, DAY, MONTH = "_number", "_day", "_month"
 
 # The slice reports are run on.
 CASES = CaseSlice(("PROMO", "SMALL", "LARGE"), "SP", 1997, 1999)
@@ -69,13 +71,28 @@ def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with the id as a number, and the month of DT_SAIDA less the stay, that of the ship date if there is a quantity."""
+    return _spelled(_joined(spark, sf_dir), "uf", MONTH)
+
+
+def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with their diagnosis, state and month, in the few columns that admissions are spelled from."""
     lines = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     # a line without a supplier has no state, like one of a nation without
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", state_abbrev(_nation_code("s_nationkey")).alias("uf"))
     joined = (lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
               .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left"))
-    order, day = F.col("l_orderkey"), _day("l_shipdate")
+    day = _day("l_shipdate")
+    return joined.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_linestatus", "l_returnflag",
+        "p_type", "uf", day.alias(DAY),
+        F.when(F.col("l_quantity").isNotNull(), F.year(day) * 100 + F.month(day)).alias(MONTH),
+    )
+
+
+def _spelled(joined: DataFrame, *keys: str) -> DataFrame:
+    """Admissions from such lines, with the id as a number, then `keys` as they are."""
+    order, day = F.col("l_orderkey"), F.col(DAY)
     admitted = (F.when(order % 10 < 6, _iso(day))
                 .when(order % 10 < 9, _compact(day))
                 .otherwise(F.date_format(day, "dd/MM/yyyy")))
@@ -94,40 +111,54 @@ def _admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias("SEXO"),
         (F.col("l_linenumber") % 2).cast("bigint").alias("MORTE"),
         (F.col("l_suppkey") + F.when(order % 97 == 0, 1000).otherwise(0)).alias("CNES"),
-        "uf",
         (order * 10 + F.col("l_linenumber")).alias(NUMBER),
-        F.when(F.col("l_quantity").isNotNull(), F.year(day) * 100 + F.month(day)).alias(MONTH),
+        *keys,
     )
 
 
+def _placed(joined: DataFrame) -> DataFrame:
+    """Such lines with the state and month of their folder."""
+    return joined.withColumns({"uf": F.coalesce("uf", F.lit(NO_STATE)), "ano_mes": F.lpad(F.col(MONTH).cast("string"), 6, "0")})
+
+
 def dropped_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Admissions as they lie in landed folders: numeric ids, one folder per state and month."""
-    return _dropped_admissions(spark, sf_dir).drop(MONTH)
+    return _numbered(_placed(_joined(spark, sf_dir)))
 
 
-def _dropped_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _admissions(spark, sf_dir).withColumns({
-        "N_AIH": F.col(NUMBER),
-        "uf": F.coalesce("uf", F.lit(NO_STATE)),
-        "ano_mes": F.lpad(F.col(MONTH).cast("string"), 6, "0"),
-    }).drop(NUMBER)
+def _numbered(placed: DataFrame) -> DataFrame:
+    return _spelled(placed, "uf", "ano_mes").withColumn("N_AIH", F.col(NUMBER)).drop(NUMBER)
 
 
 def write_drifting(spark: SparkSession, sf_dir: str, root: str, which: Column | None = None) -> None:
-    """Write the landed folders, or those `which` holds for, with three sets of column types, by year."""
-    rows = _dropped_admissions(spark, sf_dir)
+    """Write the landed folders, or those `which` holds for, with three sets of column types, by year.
+
+    Lines are moved to their folders in the columns they come in and spelled
+    there. Up to the year 9999 a folder is of one layout, so the layouts are
+    landed at the same time and each replaces its own folders; later years are
+    cut to six digits and share folders, so their layouts are added in turn.
+    """
+    lines = _placed(_joined(spark, sf_dir))
     if which is not None:
-        rows = rows.filter(which)
+        lines = lines.filter(which)
     kind = F.expr(f"{MONTH} div 100 % 3")  # every layout looks for its rows in all lines
-    layouts = (
-        rows.withColumn("N_AIH", F.col("N_AIH").cast("string")),
-        rows.drop("PROC_REA").withColumn("MUNIC_MOV", F.col("MUNIC_MOV").cast("int")),
-        rows.withColumns({"DIAS_PERM": F.col("DIAS_PERM").cast("string"), "VAL_TOT": F.col("VAL_TOT").cast("string"),
-                          "N_AIH": F.col("N_AIH").cast("string"), "EXTRA": F.lit(1)}),
-    )
-    for number, layout in enumerate(layouts):
-        (layout.filter(kind == number).drop(MONTH).hint("rebalance", F.col("uf"), F.col("ano_mes"))
-         .write.mode("append").partitionBy("uf", "ano_mes").parquet(root))
+    shipped = table(spark, sf_dir, "lineitem").select("l_shipdate")
+    first = F.make_date(F.lit(10000), F.lit(1), F.lit(1)).cast(shipped.schema[0].dataType)  # row groups before it are skipped
+    shared = not shipped.filter(F.col("l_shipdate") >= first).isEmpty()
+
+    def land(number: int) -> None:
+        rows = _numbered(lines.filter(kind == number).drop(MONTH).hint("rebalance", F.col("uf"), F.col("ano_mes")))
+        layouts = (
+            rows.withColumn("N_AIH", F.col("N_AIH").cast("string")),
+            rows.drop("PROC_REA").withColumn("MUNIC_MOV", F.col("MUNIC_MOV").cast("int")),
+            rows.withColumns({"DIAS_PERM": F.col("DIAS_PERM").cast("string"), "VAL_TOT": F.col("VAL_TOT").cast("string"),
+                              "N_AIH": F.col("N_AIH").cast("string"), "EXTRA": F.lit(1)}),
+        )
+        (layouts[number].write.mode("append" if shared else "overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("uf", "ano_mes").parquet(root))
+
+    with ThreadPool(1 if shared else 3) as pool:
+        pool.map(land, range(3))
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
